@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from spanlake.llm import linededup, sharding
+from spanlake.llm import bpe, langid, linededup, sharding
 
 QUERIES = {
+    "op3_hd_language_id": langid.op3_hd_language_id,
     "op4_rendezvous_shards": sharding.op4_rendezvous_shards,
     "op6_site_line_dedup": linededup.op6_site_line_dedup,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
 }
 ORACLES = {
     "op4_rendezvous_shards": sharding.ORACLE,
