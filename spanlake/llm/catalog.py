@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from spanlake.llm import bpe, langid, linededup, sharding
+from spanlake.llm import bpe, decontam, langid, linededup, quality, sharding
 
 QUERIES = {
+    "op2_prefix_decontamination": decontam.op2_prefix_decontamination,
     "op3_hd_language_id": langid.op3_hd_language_id,
     "op4_rendezvous_shards": sharding.op4_rendezvous_shards,
     "op6_site_line_dedup": linededup.op6_site_line_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op10_risk_controlled_rules": quality.op10_risk_controlled_rules,
 }
 ORACLES = {
     "op4_rendezvous_shards": sharding.ORACLE,
