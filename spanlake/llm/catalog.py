@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanlake.llm import bpe, decontam, langid, linededup, neardup, quality, sharding, substring
+from spanlake.llm import bpe, decontam, htmltext, langid, linededup, neardup, quality, sharding, substring
 
 QUERIES = {
     "op2_prefix_decontamination": decontam.op2_prefix_decontamination,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_rendezvous_shards": sharding.op4_rendezvous_shards,
     "op6_site_line_dedup": linededup.op6_site_line_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_wrapper_induction": htmltext.op8_wrapper_induction,
     "op5_fm_index_substring_dedup": substring.op5_fm_index_substring_dedup,
     "op9_fast_similarity_near_dedup": neardup.op9_fast_similarity_near_dedup,
     "op10_risk_controlled_rules": quality.op10_risk_controlled_rules,
