@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from spanlake.llm import bpe, decontam, htmltext, langid, linededup, neardup, quality, sharding, substring
+from spanlake.llm import bpe, decontam, htmltext, langid, linededup, neardup, pii, quality, sharding, substring
 
 QUERIES = {
+    "op1_bilstm_crf_pii": pii.op1_bilstm_crf_pii,
     "op2_prefix_decontamination": decontam.op2_prefix_decontamination,
     "op3_hd_language_id": langid.op3_hd_language_id,
     "op4_rendezvous_shards": sharding.op4_rendezvous_shards,
