@@ -264,7 +264,8 @@ def masked(docs: DataFrame, model: BiLstmCrf | None = None, text: str = "text")
 def op1_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     shown = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of_kind = lambda k: F.filter("base", lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(shown("base"), 256).alias("base_sha256"), shown("spans").alias("spans"))
 
 
