@@ -8,6 +8,7 @@ import hashlib
 import json
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -164,13 +165,13 @@ def decode(rows: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", out
     return slim.mapInArrow(run, f"{schema}, `{out}` binary")
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
     """All columns, with n_tokens, ids_sha256 and decoded_sha256 of each whole text (null: empty).
 
-    The ids themselves never leave the task, so a long text costs its own ids in memory and no more.
+    The ids themselves leave the task only with keep_ids, as an array column `ids`. Columns of these names are replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(_driver_model(vocabulary)[0])
-    made = ("n_tokens", "ids_sha256", "decoded_sha256")
+    made = ("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else []))
     keep = [c for c in docs.columns if c.lower() not in made]
     at = [c.lower() for c in keep].index(text.lower())
 
@@ -178,7 +179,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text
         codec = _codec(model.value, pattern)
         shown = {}
         for batch in batches:
-            counts, ids_sha, bytes_sha = [], [], []
+            counts, ids_sha, bytes_sha, all_ids = [], [], [], []
             for words, table in codec.encode_batch(batch.column(at).to_pylist()):
                 if table is not codec.known:
                     ids = [i for w in words for i in table[w]]
@@ -194,13 +195,16 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text
                         found.append(x)
                     n, text_ids, decoded = sum([x[0] for x in found]), ",".join([x[1] for x in found]), b"".join([x[2] for x in found])
                 counts.append(n)
+                if keep_ids:
+                    all_ids.append(np.fromiter((i for w in words for i in table[w]), np.int32, n))
                 ids_sha.append(hashlib.sha256(text_ids.encode()).hexdigest())
                 bytes_sha.append(hashlib.sha256(decoded).hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(bytes_sha)], names=[*keep, *made])
+            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *all_ids])))] if keep_ids else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string()), *lists], names=[*keep, *made])
 
     slim = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields)
-    return slim.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return slim.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else ""))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from spanlake.llm import bpe, decontam, htmltext, langid, linededup, neardup, pii, quality, sharding, substring
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_fm_index_substring_dedup": substring.op5_fm_index_substring_dedup,
     "op9_fast_similarity_near_dedup": neardup.op9_fast_similarity_near_dedup,
     "op10_risk_controlled_rules": quality.op10_risk_controlled_rules,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op4_rendezvous_shards": sharding.ORACLE,

@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 _serial = itertools.count()
 
 
+#: Rows that a Python task gets at once: texts are long, and a task's memory follows from it.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Makes Arrow batches small for tables of texts; Spark's own bound is 10,000 rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """One of the test tables."""
+    """One of the test tables, for a query over texts."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -51,4 +61,4 @@ def with_text_key(df: DataFrame, name: str, *columns: str) -> DataFrame:
     return df.withColumn(name, F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
 
 
-__all__ = ["cut", "fresh", "read", "text_or_empty", "with_text_key"]
+__all__ = ["bound_batches", "cut", "fresh", "read", "text_or_empty", "with_text_key"]
