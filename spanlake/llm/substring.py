@@ -8,11 +8,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.llm.fmindex import FMIndex
-from spanlake.llm.frames import read
+from spanlake.llm.frames import cut, read
 from spanlake.llm.textio import NOT_SPACE, buffers, grams, mix, room, rows_of, runs, signed, slices, word_hashes
 
 #: Words in a window, and in the n-grams whose least hash in a window is the window's key.
@@ -20,6 +20,10 @@ WINDOW, KEY_WORDS = 13, 5
 #: Most windows in a segment (their removal is a bit mask), words in an index, and segments of one key in it.
 RUN, SHARD_WORDS, KEY_SEGMENTS = 32, 100_000, 20_000
 _NONE = (1 << 63) - 1
+#: Keys and contents have 48 bits: 96 together tell segments apart, and a shuffle carries fewer random bytes.
+_SPARE = np.uint64(16)
+#: Bits of a place in a text; above them stand MARK_BITS bits of the text's hash, for rows that share a doc_id.
+PLACE_BITS, MARK_BITS = 40, 20
 
 
 class Segments:
@@ -50,14 +54,17 @@ class Segments:
             run = np.arange(n) - np.cumsum(run)
         head = np.flatnonzero(inside & (run % RUN == 0)) if n else head  # a long run is cut, always at the same distance from its start
         last = np.flatnonzero(inside & np.concatenate(((run[1:] % RUN == 0) | ~inside[1:], [True]))) if n else head
-        self.key, self.row, self.at, self.size = least[head], row[head], head - self.first[row[head]], last - head + window
+        self.key, self.row, self.at, self.size = least[head] >> _SPARE, row[head], head - self.first[row[head]], last - head + window
         self.head = head
-        # the content's hash, apart from the key's: a sum over places, of other hashes
+
+    def contents(self, i: np.ndarray) -> np.ndarray:
+        """Hashes of the words of segments, apart from their keys'."""
         other = word_hashes(self.data, self.starts, self.ends, lower=False, seed=2)
-        self.content = np.zeros(len(head), np.uint64)
-        for j in range(int(self.size.max(initial=0))):
-            on = self.size > j
-            self.content[on] = mix(self.content[on] ^ other[head[on] + j])
+        out, head, size = np.zeros(len(i), np.uint64), self.head[i], self.size[i]
+        for j in range(int(size.max(initial=0))):
+            on = np.flatnonzero(size > j)
+            out[on] = mix(out[on] ^ other[head[on] + j])
+        return out >> _SPARE
 
     def words(self, i: int) -> bytes:
         a, b = self.head[i], self.head[i] + self.size[i]
@@ -77,7 +84,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codec = pa.Codec("zstd", 1)
+    codec = pa.Codec("zstd", 3)
     for batch in batches:
         raw = [x.as_buffer() if x.is_valid else pa.py_buffer(b"") for x in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array([len(x) for x in raw], pa.int64()), pa.array([codec.compress(x, asbytes=True) for x in raw], pa.binary())], names=["doc_id", "mark", "size", "blob"])
@@ -85,7 +92,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpacked(batch: pa.RecordBatch, rows: int = 400) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of a batch with their texts."""
-    codec = pa.Codec("zstd", 1)
+    codec = pa.Codec("zstd", 3)
+    batch = batch.filter(pc.is_valid(batch.column("keys")))  # others have nothing to look for
     for a in range(0, batch.num_rows, rows):
         part = batch.slice(a, rows)
         texts = [codec.decompress(b.as_buffer(), n, asbytes=True) for b, n in zip(part.column("blob"), part.column("size").to_pylist(), strict=True)]
@@ -108,8 +116,8 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _unpacked(batch):
             s = Segments(texts)
             i = _wanted(part, s)
-            take = pa.array(s.row[i])
-            yield pa.RecordBatch.from_arrays([signed(s.key[i]), signed(s.content[i]), part.column("doc_id").take(take), part.column("mark").take(take), pa.array(s.at[i], pa.int64())], names=["key", "content", "doc_id", "mark", "at"])
+            marks = part.column("mark").to_numpy().astype(np.int64)[s.row[i]] << PLACE_BITS
+            yield pa.RecordBatch.from_arrays([signed(s.key[i]), signed(s.contents(i)), part.column("doc_id").take(pa.array(s.row[i])), pa.array(marks | s.at[i], pa.int64())], names=["key", "content", "doc_id", "place"])
 
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,11 +126,13 @@ def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _unpacked(batch):
             s = Segments(texts)
             i = _wanted(part, s)
-            pairs = part.column("contents").flatten().to_numpy().view(np.uint64)
-            i = i[np.isin(s.content[i], pairs)]
-            _, once = np.unique(mix(s.content[i]) ^ s.key[i], return_index=True)
-            i = i[np.sort(once)]
-            yield pa.RecordBatch.from_arrays([signed(s.key[i]), signed(s.content[i]), part.column("doc_id").take(pa.array(s.row[i])), pa.array([s.words(j) for j in i], pa.binary())], names=["key", "content", "owner", "words"])
+            contents = s.contents(i)
+            mine = np.isin(contents, part.column("contents").flatten().to_numpy().view(np.uint64))
+            i, contents = i[mine], contents[mine]
+            _, once = np.unique(mix(contents) ^ s.key[i], return_index=True)
+            once.sort()
+            i, contents = i[once], contents[once]
+            yield pa.RecordBatch.from_arrays([signed(s.key[i]), signed(contents), part.column("doc_id").take(pa.array(s.row[i])), pa.array([s.words(j) for j in i.tolist()], pa.binary())], names=["key", "content", "owner", "words"])
 
 
 def search_shards(batches: Iterator[pa.RecordBatch], window: int = WINDOW, limit: int = SHARD_WORDS) -> Iterator[pa.RecordBatch]:
@@ -151,7 +161,9 @@ def search_shards(batches: Iterator[pa.RecordBatch], window: int = WINDOW, limit
         keep = np.flatnonzero(room(first) >= window)
         sizes = np.bincount(row[keep], minlength=len(column))
         owners = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(least[keep]))
-        yield pa.RecordBatch.from_arrays([rows.column("key").combine_chunks(), rows.column("content").combine_chunks(), owners], names=["key", "content", "owners"])
+        edges = np.searchsorted(row[keep], np.arange(len(column)))  # each segment has a window
+        bounds = [pa.array(f.reduceat(least[keep], edges)) for f in (np.minimum, np.maximum)]
+        yield pa.RecordBatch.from_arrays([rows.column("key").combine_chunks(), rows.column("content").combine_chunks(), *bounds, owners], names=["key", "content", "lo", "hi", "owners"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -188,41 +200,40 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _searched(segments: DataFrame) -> DataFrame:
     """The least owner of each window of each segment (key, content, owner, words)."""
-    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(search_shards, "key long, content long, owners array<long>")
+    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(search_shards, "key long, content long, lo long, hi long, owners array<long>")
 
 
-def least_owners(segments: DataFrame, most: int = KEY_SEGMENTS) -> DataFrame:
-    """key, content and owners of each segment; a key with more than `most` segments is dealt out by window."""
-    sizes = segments.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    hot = sizes.where(F.col("c") > most).select("key")
-    plain = _searched(segments.join(hot, "key", "left_anti"))
-    windows = segments.join(hot, "key", "left_semi").mapInArrow(_windows, "key long, content long, j int, part long, owner long, words binary")
+def window_owners(segments: DataFrame) -> DataFrame:
+    """The same for segments of keys with too many for one index: each window is a segment under a key of its own words."""
+    windows = segments.mapInArrow(_windows, "key long, content long, j int, part long, owner long, words binary")
     single = windows.groupBy("part", "words").agg(F.min("owner").alias("owner")).select(F.col("part").alias("key"), F.col("part").alias("content"), "owner", "words")
     found = _searched(single).select(F.col("key").alias("part"), F.element_at("owners", 1).alias("owner"))
-    split = windows.select("key", "content", "j", "part").join(found, "part").groupBy("key", "content").agg(F.array_sort(F.collect_list(F.struct("j", "owner"))).alias("x"))
-    return plain.unionByName(split.select("key", "content", F.col("x.owner").alias("owners")))
+    split = windows.select("key", "content", "j", "part").distinct().join(found, "part").groupBy("key", "content").agg(F.array_sort(F.collect_list(F.struct("j", "owner"))).alias("x"))
+    return split.select("key", "content", F.array_min("x.owner").alias("lo"), F.array_max("x.owner").alias("hi"), F.col("x.owner").alias("owners"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removes the covered words: doc_id, n_words, n_removed and the kept words."""
-    codec = pa.Codec("zstd", 1)
+    codec = pa.Codec("zstd", 3)
+    low = (1 << PLACE_BITS) - 1
     for batch in batches:
-        spots = batch.column("spots").to_pylist()
-        marks = batch.column("mark").to_pylist()
+        spots, marks = batch.column("spots"), batch.column("mark").to_pylist()
         totals, removed, texts = [], [], []
         for i, (blob, size) in enumerate(zip(batch.column("blob"), batch.column("size").to_pylist(), strict=True)):
             words = codec.decompress(blob.as_buffer(), size, asbytes=True).split()
-            mine = [s for s in spots[i] or () if s["mark"] == marks[i]]
             totals.append(len(words))
-            if mine:
-                edge = np.zeros(len(words) + 1, np.int64)
-                for s in mine:
-                    for j in range(RUN):
-                        if s["mask"] >> j & 1:
-                            edge[s["at"] + j] += 1
-                            edge[s["at"] + j + WINDOW] -= 1
-                covered = np.cumsum(edge[:-1]) > 0
-                words = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
+            if spots[i].is_valid:
+                place, mask = (spots[i].values.field(f).to_numpy() for f in ("place", "mask"))
+                mine = place >> PLACE_BITS == marks[i]
+                place, mask = place[mine] & low, mask[mine]
+                edge = np.zeros(len(words) + WINDOW + RUN + 1, np.int64)
+                for j in range(RUN):
+                    at = place[(mask >> j) & 1 == 1] + j
+                    if len(at):
+                        np.add.at(edge, at, 1)
+                        np.add.at(edge, at + WINDOW, -1)
+                stays = np.flatnonzero(np.cumsum(edge)[: len(words)] == 0)
+                words = [words[k] for k in stays.tolist()]
             removed.append(totals[-1] - len(words))
             texts.append(b" ".join(words).decode())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.large_string()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
@@ -243,17 +254,25 @@ def remove_repeats(docs: DataFrame, most: int = KEY_SEGMENTS) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     keys = known.mapInArrow(_keys, "key long, doc_id long")
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
-    per_doc = keys.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    blobs = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(_packed, "doc_id long, mark long, size long, blob binary")
-    placed = blobs.join(per_doc, "doc_id").select("doc_id", "mark", "size", "blob", "keys").mapInArrow(_placed, "key long, content long, doc_id long, mark long, at long")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    per_doc = cut(keys.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys")))
+    mark = F.pmod(F.xxhash64("text"), F.lit(1 << MARK_BITS)).cast("int").alias("mark")
+    blobs = docs.select("doc_id", mark, "text").mapInArrow(_packed, "doc_id long, mark int, size long, blob binary")
+    placed = blobs.join(per_doc, "doc_id", "left").select("doc_id", "mark", "size", "blob", "keys").mapInArrow(_placed, "key long, content long, doc_id long, place long")
     firsts = placed.groupBy("key", "content").agg(F.min("doc_id").alias("doc_id"))
-    asked = firsts.groupBy("doc_id").agg(F.collect_set("key").alias("keys"), F.collect_set("content").alias("contents"))
-    written = blobs.join(asked, "doc_id").select("doc_id", "size", "blob", "keys", "contents").mapInArrow(_written, "key long, content long, owner long, words binary")
-    owners = least_owners(written.dropDuplicates(["key", "content"]), most)
-    early = F.aggregate(F.transform("owners", lambda o, j: F.when(o < F.col("doc_id"), F.call_function("shiftleft", F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda x, y: x + y)
-    spots = placed.join(owners, ["key", "content"]).select("doc_id", "mark", "at", early.alias("mask")).where("mask <> 0")
-    per_row = spots.groupBy("doc_id").agg(F.collect_set(F.struct("mark", "at", "mask")).alias("spots"))
+    flagged = firsts.withColumn("hot", F.count(F.lit(1)).over(Window.partitionBy("key")) > most)
+
+    def written(which: DataFrame) -> DataFrame:
+        asked = which.groupBy("doc_id").agg(F.collect_set("key").alias("keys"), F.collect_set("content").alias("contents"))
+        return blobs.join(asked, "doc_id", "left").select("doc_id", "mark", "size", "blob", "keys", "contents").mapInArrow(_written, "key long, content long, owner long, words binary")
+
+    owners = _searched(written(flagged.where("NOT hot"))).unionByName(window_owners(written(flagged.where("hot"))))
+    earlier = F.transform("owners", lambda o, j: F.when(o < F.col("doc_id"), F.call_function("shiftleft", F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long")))
+    each = F.aggregate(earlier, F.lit(0).cast("long"), lambda x, y: x + y)
+    all_ = F.call_function("shiftleft", F.lit(1).cast("long"), F.size("owners")) - 1
+    mask = F.when(F.col("hi") < F.col("doc_id"), all_).when(F.col("lo") >= F.col("doc_id"), F.lit(0).cast("long")).otherwise(each)
+    spots = placed.join(owners, ["key", "content"]).select("doc_id", "place", mask.alias("mask")).where("mask <> 0")
+    per_row = spots.groupBy("doc_id").agg(F.collect_set(F.struct("place", "mask")).alias("spots"))
     return blobs.join(per_row, "doc_id", "left").select("doc_id", "mark", "size", "blob", "spots").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
