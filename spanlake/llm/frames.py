@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 _serial = itertools.count()
 
 
+#: Rows of a partition of the tables of ids and links that loops go over.
+LINK_ROWS = 250_000
+#: Rows of two numbers up to which such a table is broadcast: 4 MB.
+BROADCAST_ROWS = 250_000
 #: Rows that a Python task gets at once: texts are long, and a task's memory follows from it.
 BATCH_ROWS = 1000
 
@@ -26,9 +30,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, rows_each: int = 0, broadcast: bool = False) -> DataFrame:
     """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation.
 
+    With rows_each, the rows come back in as many partitions as that makes; small tables are then no crowd of tiny files.
+    With broadcast, a table of up to BROADCAST_ROWS rows (of a few ids each) is marked for broadcast joins; a larger one isn't.
     The folder is the one the session names in spark.checkpoint.dir; only a session without one
     (a test on one machine) gets a folder of its own.
     """
@@ -37,7 +43,12 @@ def cut(df: DataFrame) -> DataFrame:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if not rows_each:
+        return out
+    rows = out.count()
+    out = out.coalesce(rows // rows_each + 1)
+    return F.broadcast(out) if broadcast and rows <= BROADCAST_ROWS else out
 
 
 def text_or_empty(column: str) -> Column:
@@ -61,4 +72,4 @@ def with_text_key(df: DataFrame, name: str, *columns: str) -> DataFrame:
     return df.withColumn(name, F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
 
 
-__all__ = ["bound_batches", "cut", "fresh", "read", "text_or_empty", "with_text_key"]
+__all__ = ["LINK_ROWS", "bound_batches", "cut", "fresh", "read", "text_or_empty", "with_text_key"]

@@ -9,14 +9,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm.components import components
-from spanlake.llm.frames import cut, read
+from spanlake.llm.components import extend
+from spanlake.llm.frames import LINK_ROWS, cut, read
 from spanlake.llm.textio import NOT_SPACE, buffers, grams, mix, runs, signed, slices, word_hashes
 
 #: Words in a shingle, and the least similarity of a link in hundredths.
 SHINGLE, PERCENT = 5, 85
 #: A band of ROWS coordinates meets for a pair of similarity 0.85 with chance 0.32, so all BANDS miss it with chance 9e-7.
 BANDS, ROWS = 36, 7
+#: The same for the documents that first rounds leave open: narrow bands (chance 0.033 each, all miss with 8e-7) that
+#: pairs of similarity 0.7 share in one of four cases only.
+NARROW_BANDS, NARROW_ROWS = 420, 21
 #: Rounds that try one partner a bucket before all pairs between the groups that are left are tried.
 ROUNDS = 6
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -48,6 +51,7 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
     elements = np.concatenate([sets[i] for i in todo]) if len(todo) else np.empty(0, np.uint64)
     rows = np.repeat(todo, sizes[todo])
     flat = out.reshape(-1)
+    pause = max(1, t * len(todo) // max(1, 2 * len(elements)))  # rounds between looks; a full set's further throws are all higher
     for i in range(2 * t):
         if not len(todo):
             break
@@ -55,6 +59,8 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
         bins = ((x >> np.uint64(32)) * np.uint64(t)) >> np.uint64(32) if i < t else np.full(len(x), i - t, np.uint64)
         height = (np.uint64(i) << np.uint64(54)) | (mix(x) >> np.uint64(10))
         np.minimum.at(flat, rows * t + bins.astype(np.int64), height)
+        if (i + 1) % pause and i != t - 1:
+            continue
         open_ = (out[todo] == _EMPTY).any(axis=1)
         if not open_.all():
             still = np.zeros(len(sets), bool)
@@ -82,7 +88,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = np.array([len(s) for s in sets], np.int64)
             prints = [np.array([f(s) for s in sets], np.uint64) for f in (lambda s: mix(s ^ np.uint64(0xA5A5)).sum(dtype=np.uint64), lambda s: mix(s + np.uint64(0x5EED)).sum(dtype=np.uint64))]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), signed(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array(n), signed(prints[0]), signed(prints[1]), lists], names=["doc_id", "mark", "n", "p", "q", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), signed(prints[0]), signed(prints[1]), lists], names=["doc_id", "n", "p", "q", "bands"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,27 +99,45 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array([len(x) for x in raw], pa.int64()), pa.array([codec.compress(x, asbytes=True) for x in raw], pa.binary())], names=["doc_id", "mark", "size", "blob"])
 
 
+def _texts(batch: pa.RecordBatch, side: str = "") -> Iterator[bytes]:
+    codec = pa.Codec("zstd", 1)
+    for blob, size in zip(batch.column(f"{side}blob"), batch.column(f"{side}size").to_pylist(), strict=True):
+        yield codec.decompress(blob.as_buffer(), size, asbytes=True)
+
+
+def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The narrow bands of documents."""
+    for batch in batches:
+        for part in (batch.slice(a, 200) for a in range(0, batch.num_rows, 200)):
+            sets = shingle_sets(pa.array([t.decode() for t in _texts(part)], pa.large_string()))
+            keys = band_keys(sketches(sets, NARROW_BANDS * NARROW_ROWS), NARROW_BANDS, NARROW_ROWS)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * NARROW_BANDS, pa.int32()), signed(keys.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([len(x) for x in sets], pa.int64()), lists], names=["node", "n", "bands"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose full sets are similar enough."""
+    """Whether each pair is a link, and its Jaccard distance, from the full sets."""
     codec = pa.Codec("zstd", 1)
     for batch in batches:
-        known: dict[tuple[int, int], np.ndarray] = {}
-        cols = {c: batch.column(c).to_pylist() for c in ("a", "a_mark", "b", "b_mark", "a_size", "b_size")}
-        kept = []
+        known: dict[tuple[int, int, int], np.ndarray] = {}
+        cols = {c: batch.column(c).to_pylist() for c in ("a", "b", "a_size", "b_size")}
+        links, distances = [], []
         for i in range(batch.num_rows):
             pair = []
             for side in "ab":
-                key = (cols[side][i], cols[f"{side}_mark"][i])
+                blob = batch.column(f"{side}_blob")[i].as_buffer()
+                key = (cols[side][i], blob.size, hash(bytes(blob)))
                 if key not in known:
                     if len(known) > 2000:
                         known.clear()
-                    text = codec.decompress(batch.column(f"{side}_blob")[i].as_buffer(), cols[f"{side}_size"][i])
-                    known[key] = shingle_sets(pa.Array.from_buffers(pa.large_string(), 1, [None, pa.array([0, len(text)], pa.int64()).buffers()[1], text]))[0]
+                    text = codec.decompress(blob, cols[f"{side}_size"][i], asbytes=True)
+                    known[key] = shingle_sets(pa.array([text.decode()], pa.large_string()))[0]
                 pair.append(known[key])
             both = len(np.intersect1d(*pair, assume_unique=True))
-            if 100 * both >= PERCENT * (len(pair[0]) + len(pair[1]) - both):
-                kept.append(i)
-        yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(kept, pa.int64())), batch.column("b").take(pa.array(kept, pa.int64()))], names=["a", "b"])
+            union = len(pair[0]) + len(pair[1]) - both
+            links.append(100 * both >= PERCENT * union)
+            distances.append(1 - both / union)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(links, pa.bool_()), pa.array(distances, pa.float64())], names=["a", "b", "link", "distance"])
 
 
 def _sizes_fit(x: Column, y: Column) -> Column:
@@ -121,55 +145,88 @@ def _sizes_fit(x: Column, y: Column) -> Column:
 
 
 class _Search:
-    """Buckets of classes of equal sets, and the links found so far."""
+    """Buckets of classes of equal sets, and the groups found so far."""
 
     def __init__(self, docs: DataFrame):
-        self.texts = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").where("doc_id IS NOT NULL")
-        rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
-        self.rows = cut(rows.mapInArrow(_sketched, "doc_id long, mark long, n long, p long, q long, bands array<long>"))
-        classes = self.rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("p", "q").agg(F.min(F.struct("doc_id", "mark")).alias("top"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-        members = classes.select(F.explode("bands").alias("key"), F.struct(F.col("top.doc_id").alias("node"), F.col("top.mark").alias("mark"), "n").alias("m"))
+        rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        self.rows = cut(rows.mapInArrow(_sketched, "doc_id long, n long, p long, q long, bands array<long>"))
+        known = self.rows.where("n > 0 AND doc_id IS NOT NULL")
+        self.classes = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"))
+        tops = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        members = tops.select(F.explode("bands").alias("key"), "node", "n")
         shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-        self.members = cut(members.join(shared, "key", "left_semi").select("key", "m.node", "m.mark", "m.n"))
-        same = self.rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("p", "q").agg(F.min("doc_id").alias("node"))
-        self.classes = same
+        self.members = cut(members.join(shared, "key", "left_semi"), LINK_ROWS)
+        texts = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").where("doc_id IS NOT NULL")
+        blobs = texts.mapInArrow(_packed, "doc_id long, mark long, size long, blob binary")
+        wanted = self.members.select(F.col("node").alias("doc_id")).distinct()
+        self.blobs = cut(blobs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "mark"]).drop("mark"))
         self.tested = None
-        self.links = None
+        self.roots = None
+        self.anchors = None
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, a_mark, b, b_mark) that are links, from their full texts."""
-        blobs = self.texts.mapInArrow(_packed, "doc_id long, mark long, size long, blob binary")
-        side = lambda s: blobs.select(F.col("doc_id").alias(s), F.col("mark").alias(f"{s}_mark"), F.col("size").alias(f"{s}_size"), F.col("blob").alias(f"{s}_blob"))
-        joined = pairs.join(side("a"), ["a", "a_mark"]).join(side("b"), ["b", "b_mark"])
-        return joined.mapInArrow(_verified, "a long, b long").distinct()
+        """a, b, link and distance of pairs (a, b), from their full texts. If rows share a doc_id, each of their texts is tried."""
+        side = lambda s: self.blobs.select(F.col("doc_id").alias(s), F.col("size").alias(f"{s}_size"), F.col("blob").alias(f"{s}_blob"))
+        joined = pairs.join(side("a"), "a").join(side("b"), "b")
+        return joined.mapInArrow(_verified, "a long, b long, link boolean, distance double")
 
     def add(self, pairs: DataFrame) -> bool:
-        """Verifies pairs that weren't yet; true if any were new."""
+        """Verifies pairs that weren't yet and joins the groups that they link; false if they link none."""
+        pairs = pairs.distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs.dropDuplicates(["a", "a_mark", "b", "b_mark"]))
-        if pairs.isEmpty():
-            return False
-        names = pairs.select("a", "b")
-        self.tested = names if self.tested is None else self.tested.unionByName(names)
-        found = cut(self.verify(pairs))
-        self.links = found if self.links is None else self.links.unionByName(found)
-        return True
-
-    def grouped(self) -> DataFrame:
+        pairs = cut(pairs, LINK_ROWS // 50)  # each stands for two texts
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        found = self.verify(pairs)
+        if self.anchors is None:  # the first pairs have each class once as a: its distance from b is kept
+            found = cut(found, LINK_ROWS)
+            own = found.groupBy("a").agg(F.min(F.struct("b", "distance")).alias("x")).select(F.col("a").alias("node"), F.col("x.b").alias("anchor"), "x.distance")
+            others = found.select(F.col("b").alias("node")).distinct().join(own, "node", "left_anti")
+            self.anchors = cut(own.unionByName(others.select("node", F.col("node").alias("anchor"), F.lit(0.0).alias("distance"))), LINK_ROWS)
+        before, self.roots = self.roots, extend(self.roots, found.where("link").select("a", "b"))
+        return self.roots is not before
+
+    def narrow(self) -> None:
+        """Puts the members that are left into the buckets of narrow bands."""
+        left = self.members.select("node").distinct()
+        texts = self.blobs.withColumnRenamed("doc_id", "node").join(left, "node", "left_semi")
+        bands = texts.repartition(F.col("node")).mapInArrow(_narrowed, "node long, n long, bands array<long>")
+        self.members = cut(bands).select(F.explode("bands").alias("key"), "node", "n")
+
+    def open(self) -> DataFrame:
         """Members of buckets that still hold several groups, with their group."""
-        m = self.members.join(components(self.links), "node", "left").select("key", "node", "mark", "n", F.coalesce("root", "node").alias("root"))
+        m = self.members.join(self.roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
         several = m.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-        return cut(m.join(several, "key", "left_semi"))
+        several = cut(several, LINK_ROWS, broadcast=True)
+        self.members = cut(m.join(several, "key", "left_semi"), LINK_ROWS).drop("root")  # buckets of one group are done
+        held = self.members.join(self.roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        return held.join(self.anchors, "node", "left")
+
 
+def _low(key: Column) -> Column:
+    """Half of a key's bits: enough to tell a member's buckets apart."""
+    return F.shiftright(key, 32).cast("int")
 
-def _pairs(members: DataFrame, pivots: DataFrame, also: Column | None = None) -> DataFrame:
-    """Each member with each p of its bucket, the greater node first, if sizes fit."""
+
+MEMBER = ("node", "n", "root", "anchor", "distance")
+
+
+def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Each member with each p of its bucket that could be a link to another group, the greater node first.
+
+    Sizes must fit; and as the Jaccard distance is a metric, two members whose distances from one anchor
+    differ by more than a link's distance are no link.
+    """
     fit = (F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"))
-    joined = members.join(pivots, "key").where(fit if also is None else fit & also)
+    if "root" in members.columns:
+        apart = (F.col("anchor") == F.col("p.anchor")) & (F.abs(F.col("distance") - F.col("p.distance")) > 1 - PERCENT / 100 + 1e-9)
+        fit = fit & (F.col("root") != F.col("p.root")) & ~F.coalesce(apart, F.lit(False))
+    if "keys" in members.columns:  # a pair counts in the first bucket that it shares
+        fit = fit & (F.array_min(F.array_intersect("keys", "p.keys")) == _low(F.col("key")))
+    joined = members.join(pivots, "key").where(fit)
     hi = F.col("node") > F.col("p.node")
     pick = lambda x, y: F.when(hi, F.col(x)).otherwise(F.col(y))
-    return joined.select(pick("node", "p.node").alias("a"), pick("mark", "p.mark").alias("a_mark"), pick("p.node", "node").alias("b"), pick("p.mark", "mark").alias("b_mark"))
+    return joined.select(pick("node", "p.node").alias("a"), pick("p.node", "node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -178,44 +235,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Shingles are 5 words, with A-Z in lower case; a link needs a similarity of 0.85 or more, confirmed on the
     full sets. Documents of equal sets are one class, found by 128-bit sums of hashes, and only its first
     document is compared. Classes that share a band of the sketch are candidates. Not all pairs of a bucket
-    are tried: first each class with the least class it meets most often, then one partner a bucket as
-    long as buckets hold several groups, and at last all pairs between groups that are left. A pair within
-    a group can change nothing, so no link that matters is left out.
+    are tried: first each class with the least class it meets most often, then one partner a bucket. Members of
+    buckets that still hold several groups get a longer sketch and narrow bands, which tell similarities of
+    0.7 and 0.85 well apart; there again one partner a bucket is tried, and at last all pairs between groups that
+    are left. A pair within a group can change nothing, so no link that matters is left out.
 
     A text without words, an empty one or null has n_shingles 0 and stays alone. Rows with one doc_id are
     one document for links; a null doc_id links to nothing and is kept. Columns other than the two are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     search = _Search(docs)
-    pivots = search.members.groupBy("key").agg(F.min(F.struct("node", "mark", "n")).alias("p"))
-    starry = _pairs(search.members, pivots).groupBy("a", "a_mark", "b", "b_mark").agg(F.count(F.lit(1)).alias("c"))
-    best = starry.groupBy("a", "a_mark").agg(F.max(F.struct("c", (-F.col("b")).alias("minus"), "b_mark")).alias("x"))
-    if search.add(best.select("a", "a_mark", (-F.col("x.minus")).alias("b"), F.col("x.b_mark").alias("b_mark"))):
-        roots = components(search.links)
-        a_roots, b_roots = (roots.select(F.col("node").alias(s), F.col("root").alias(f"{s}_root")) for s in "ab")
-        apart = starry.drop("c").join(a_roots, "a", "left").join(b_roots, "b", "left").where("coalesce(a_root, a) <> coalesce(b_root, b)")
-        search.add(apart.drop("a_root", "b_root"))
-        for turn in range(ROUNDS + 1):
-            left = search.grouped()
-            per = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "root")).alias("main"))
-            todo = per.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n") - F.col("squares")).alias("pairs")).first()
-            if not todo.n:
-                break
-            strays = left.join(per.select("key", F.col("main.root").alias("main")), "key").where("root <> main")
-            if turn == ROUNDS or todo.pairs <= 8 * todo.n:
-                others = left.select("key", F.struct("node", "mark", "n", "root").alias("p"))
-                search.add(_pairs(strays, others, F.col("root") != F.col("p.root")))
-                break
-            random = F.xxhash64("node", "key", F.lit(turn))
-            mains = left.join(per.select("key", F.col("main.root").alias("root")), ["key", "root"]).groupBy("key").agg(F.min_by(F.struct("node", "mark", "n"), random).alias("p"))
-            search.add(_pairs(strays, mains))
-    found = search.links
-    rows = search.rows.drop("bands", "mark")
-    out = rows.join(search.classes, ["p", "q"], "left")
-    if found is not None:
-        out = out.join(components(found), "node", "left")
-    else:
-        out = out.withColumn("root", F.lit(None).cast("long"))
+    pivots = search.members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"))
+    starry = _pairs(search.members, pivots).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    best = starry.groupBy("a").agg(F.max(F.struct("c", (-F.col("b")).alias("minus"))).alias("x"))
+    search.add(best.select("a", (-F.col("x.minus")).alias("b")))
+    for turn in range(ROUNDS + 1):
+        left = search.open()
+        per = left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "root")).alias("main"))
+        todo = per.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n") - F.col("squares")).alias("pairs")).first()
+        if not todo.n:
+            break
+        strays = left.join(per.select("key", F.col("main.root").alias("main")), "key").where("root <> main")
+        if turn > 0 and (turn == ROUNDS or not moved or todo.pairs <= 16 * todo.n):
+            keys = left.groupBy("node").agg(F.collect_set(_low(F.col("key"))).alias("keys"))  # one of NARROW_BANDS at most
+            search.add(_pairs(strays.join(keys, "node"), left.join(keys, "node").select("key", F.struct(*MEMBER, "keys").alias("p"))))
+            break
+        random = F.xxhash64("node", "key", F.lit(turn))
+        mains = left.join(per.select("key", F.col("main.root").alias("root")), ["key", "root"]).groupBy("key").agg(F.min_by(F.struct(*MEMBER), random).alias("p"))
+        moved = search.add(_pairs(strays, mains))
+        if turn == 0:
+            search.open()  # drops the buckets that are done now
+            search.narrow()
+    out = search.rows.drop("bands").join(search.classes, ["p", "q"], "left").join(search.roots, "node", "left")
     known = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     root = F.when(known, F.coalesce("root", "node")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"), F.col("doc_id").eqNullSafe(root).alias("kept"))

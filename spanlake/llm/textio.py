@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are looked at together; a longer text is one slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _COMBINE = np.uint64(0xAF251AF3B0F025B5)
