@@ -58,7 +58,7 @@ class GramVectors:
     def __init__(self, dim: int = DIM, n: int = N, keep: int = KEEP):
         self.dim, self.n, self.keep = dim, n, keep
         self.rows: dict[int, int] = {}
-        self.table = np.empty((0, dim), np.float32)
+        self.table = np.empty((0, dim), np.int8)
 
     def letter(self, code: int) -> np.ndarray:
         words = mix(np.arange(self.dim // 64 + 1, dtype=np.uint64) + np.uint64(code << 20))
@@ -72,20 +72,20 @@ class GramVectors:
         return out
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        """The vectors of the given n-grams, one a row."""
+        """The vectors of the given n-grams, one a row; the table has a byte a sign."""
         if len(self.rows) + len(keys) > self.keep:
-            self.rows, self.table = {}, np.empty((0, self.dim), np.float32)
+            self.rows, self.table = {}, np.empty((0, self.dim), np.int8)
         new = [k for k in keys.tolist() if k not in self.rows]
         if new:
             at = len(self.rows)
             if at + len(new) > len(self.table):
-                grown = np.empty((max(at + len(new), 2 * len(self.table), 1024), self.dim), np.float32)
+                grown = np.empty((max(at + len(new), len(self.table) * 5 // 4, 1024), self.dim), np.int8)
                 grown[:at] = self.table[:at]
                 self.table = grown
             for i, k in enumerate(new, at):
                 self.table[i] = self.bind(k)
                 self.rows[k] = i
-        return self.table[[self.rows[k] for k in keys.tolist()]]
+        return self.table[[self.rows[k] for k in keys.tolist()]].astype(np.float32)
 
     def bundle(self, grams: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The sum of the vectors of all n-grams of each text, a row a text; `grams` has their numbers and counts."""
