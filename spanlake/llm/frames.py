@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import itertools
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_serial = itertools.count()
 
-
-#: Rows of a partition of the tables of ids and links that loops go over.
-LINK_ROWS = 250_000
 #: Rows of two numbers up to which such a table is broadcast: 4 MB.
 BROADCAST_ROWS = 250_000
 #: Rows that a Python task gets at once: texts are long, and a task's memory follows from it.
@@ -30,25 +26,34 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def cut(df: DataFrame, rows_each: int = 0, broadcast: bool = False) -> DataFrame:
-    """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; only a session without one (a test) gets one of its own."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, so that lost executors cost no recomputation."""
+    _shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-    With rows_each, the rows come back in as many partitions as that makes; small tables are then no crowd of tiny files.
-    With broadcast, a table of up to BROADCAST_ROWS rows (of a few ids each) is marked for broadcast joins; a larger one isn't.
-    The folder is the one the session names in spark.checkpoint.dir; only a session without one
-    (a test on one machine) gets a folder of its own.
+
+def table(df: DataFrame) -> DataFrame:
+    """The rows of a table of ids or links as Parquet in the shared checkpoint folder, for loops.
+
+    Unlike a checkpoint, what is read back has the size that it has: loops of joins would otherwise multiply estimated
+    sizes without end. A table of up to BROADCAST_ROWS rows, of a few ids each, is marked for broadcast joins; a larger
+    one isn't.
     """
     spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    out = df.checkpoint(eager=True)
-    if not rows_each:
-        return out
-    rows = out.count()
-    out = out.coalesce(rows // rows_each + 1)
-    return F.broadcast(out) if broadcast and rows <= BROADCAST_ROWS else out
+    path = f"{_shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
 
 
 def text_or_empty(column: str) -> Column:
@@ -72,4 +77,4 @@ def with_text_key(df: DataFrame, name: str, *columns: str) -> DataFrame:
     return df.withColumn(name, F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
 
 
-__all__ = ["LINK_ROWS", "bound_batches", "cut", "fresh", "read", "text_or_empty", "with_text_key"]
+__all__ = ["bound_batches", "cut", "fresh", "read", "table", "text_or_empty", "with_text_key"]

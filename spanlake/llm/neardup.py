@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm.components import extend
-from spanlake.llm.frames import LINK_ROWS, cut, read
+from spanlake.llm.frames import cut, read, table
 from spanlake.llm.textio import NOT_SPACE, buffers, grams, mix, runs, signed, slices, word_hashes
 
 #: Words in a shingle, and the least similarity of a link in hundredths.
@@ -108,7 +108,7 @@ def _texts(batch: pa.RecordBatch, side: str = "") -> Iterator[bytes]:
 def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The narrow bands of documents."""
     for batch in batches:
-        for part in (batch.slice(a, 200) for a in range(0, batch.num_rows, 200)):
+        for part in (batch.slice(a, 50) for a in range(0, batch.num_rows, 50)):
             sets = shingle_sets(pa.array([t.decode() for t in _texts(part)], pa.large_string()))
             keys = band_keys(sketches(sets, NARROW_BANDS * NARROW_ROWS), NARROW_BANDS, NARROW_ROWS)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * NARROW_BANDS, pa.int32()), signed(keys.reshape(-1)))
@@ -155,7 +155,7 @@ class _Search:
         tops = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         members = tops.select(F.explode("bands").alias("key"), "node", "n")
         shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-        self.members = cut(members.join(shared, "key", "left_semi"), LINK_ROWS)
+        self.members = table(members.join(shared, "key", "left_semi"))
         texts = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").where("doc_id IS NOT NULL")
         blobs = texts.mapInArrow(_packed, "doc_id long, mark long, size long, blob binary")
         wanted = self.members.select(F.col("node").alias("doc_id")).distinct()
@@ -175,14 +175,14 @@ class _Search:
         pairs = pairs.distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, LINK_ROWS // 50)  # each stands for two texts
+        pairs = table(pairs)  # each stands for two texts
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         found = self.verify(pairs)
         if self.anchors is None:  # the first pairs have each class once as a: its distance from b is kept
-            found = cut(found, LINK_ROWS)
+            found = table(found)
             own = found.groupBy("a").agg(F.min(F.struct("b", "distance")).alias("x")).select(F.col("a").alias("node"), F.col("x.b").alias("anchor"), "x.distance")
             others = found.select(F.col("b").alias("node")).distinct().join(own, "node", "left_anti")
-            self.anchors = cut(own.unionByName(others.select("node", F.col("node").alias("anchor"), F.lit(0.0).alias("distance"))), LINK_ROWS)
+            self.anchors = table(own.unionByName(others.select("node", F.col("node").alias("anchor"), F.lit(0.0).alias("distance"))))
         before, self.roots = self.roots, extend(self.roots, found.where("link").select("a", "b"))
         return self.roots is not before
 
@@ -197,8 +197,8 @@ class _Search:
         """Members of buckets that still hold several groups, with their group."""
         m = self.members.join(self.roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
         several = m.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-        several = cut(several, LINK_ROWS, broadcast=True)
-        self.members = cut(m.join(several, "key", "left_semi"), LINK_ROWS).drop("root")  # buckets of one group are done
+        several = table(several)
+        self.members = table(m.join(several, "key", "left_semi")).drop("root")  # buckets of one group are done
         held = self.members.join(self.roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
         return held.join(self.anchors, "node", "left")
 
