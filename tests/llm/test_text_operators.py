@@ -296,6 +296,13 @@ def test_pages(spark):
     assert got[90] == got[91] == "" and got[92] == "Cut &am" and got[93] == "alone"
 
 
+def test_templates_of_a_large_host(spark):
+    page = lambda i: "<body><article>" + ('<div class="extra"><p>Rare line</p></div>' if i % 60 == 0 else "") + ('<div class="lead"><p>Equal by chance</p></div>' if i % 60 < 5 else f'<div class="lead"><p>Lead {i}</p></div>') + f"<p>Text {i} of the page</p></article>"
+    rows = [(i, f"https://big.example/{i}", page(i)) for i in range(600)]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: ("Equal by chance" if i % 60 < 5 else f"Lead {i}") + f" Text {i} of the page" for i in range(600)}  # the line of ten pages is template
+
+
 def test_tree_matching():
     a, b = (domtree.Shape([domtree.parse(t)], "") for t in ("<div><p>x</p><ul></ul></div>", "<div><ul></ul></div>"))
     assert domtree.match(a, b)[0] == 3 and domtree.match(a, a)[0] == a.size
