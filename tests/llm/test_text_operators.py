@@ -303,6 +303,15 @@ def test_templates_of_a_large_host(spark):
     assert got == {i: ("Equal by chance" if i % 60 < 5 else f"Lead {i}") + f" Text {i} of the page" for i in range(600)}  # the line of ten pages is template
 
 
+def test_template_after_many_children(spark):
+    body = lambda i: "".join(f"<h2>Head {i} {j}</h2><p>Text {i} {j}</p>" for j in range(130))
+    rows = [(i, f"https://long.example/{i}", f"<body><article>{body(i)}<p class=\"last\">The end</p></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: " ".join(f"Head {i} {j} Text {i} {j}" for j in range(130)) for i in range(6)}
+    shape = domtree.Shape([domtree.parse(rows[0][2])], "")
+    assert shape.size == 264 and domtree.match(shape, shape)[0] == 264
+
+
 def test_tree_matching():
     a, b = (domtree.Shape([domtree.parse(t)], "") for t in ("<div><p>x</p><ul></ul></div>", "<div><ul></ul></div>"))
     assert domtree.match(a, b)[0] == 3 and domtree.match(a, a)[0] == a.size
