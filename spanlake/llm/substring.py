@@ -101,13 +101,17 @@ def _unpacked(batch: pa.RecordBatch, rows: int = 400) -> Iterator[tuple[pa.Recor
         yield part, pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(at), pa.py_buffer(b"".join(texts))])
 
 
+def _tag(key: np.ndarray, row: np.ndarray, content: np.ndarray | None = None) -> np.ndarray:
+    tag = mix(key ^ mix(row.astype(np.uint64)))
+    return tag if content is None else mix(tag ^ content)
+
+
 def _wanted(part: pa.RecordBatch, s: Segments) -> np.ndarray:
     """The segments of a slice whose keys the row's list has."""
     lists = part.column("keys")
     flat = lists.flatten().to_numpy().view(np.uint64)
     row = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy())
-    tag = lambda key, row: mix(key ^ mix(row.astype(np.uint64)))
-    return np.flatnonzero(np.isin(tag(s.key, s.row), tag(flat, row)))
+    return np.flatnonzero(np.isin(_tag(s.key, s.row), _tag(flat, row)))
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,13 +125,16 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of the segments for which the row is the first document (keys, contents: what it was first with)."""
+    """The words of the segments for which the row is the first document (keys, contents: pairs that it was first with)."""
     for batch in batches:
         for part, texts in _unpacked(batch):
             s = Segments(texts)
             i = _wanted(part, s)
             contents = s.contents(i)
-            mine = np.isin(contents, part.column("contents").flatten().to_numpy().view(np.uint64))
+            lists = part.column("keys")
+            row = np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy())
+            asked = _tag(lists.flatten().to_numpy().view(np.uint64), row, part.column("contents").flatten().to_numpy().view(np.uint64))
+            mine = np.isin(_tag(s.key[i], s.row[i], contents), asked)  # a row may hold another row's segment of a key that it was asked for
             i, contents = i[mine], contents[mine]
             _, once = np.unique(mix(contents) ^ s.key[i], return_index=True)
             once.sort()
@@ -263,7 +270,7 @@ def remove_repeats(docs: DataFrame, most: int = KEY_SEGMENTS) -> DataFrame:
     flagged = firsts.withColumn("hot", F.count(F.lit(1)).over(Window.partitionBy("key")) > most)
 
     def written(which: DataFrame) -> DataFrame:
-        asked = which.groupBy("doc_id").agg(F.collect_set("key").alias("keys"), F.collect_set("content").alias("contents"))
+        asked = which.groupBy("doc_id").agg(F.collect_list(F.struct("key", "content")).alias("pairs")).select("doc_id", F.col("pairs.key").alias("keys"), F.col("pairs.content").alias("contents"))
         return blobs.join(asked, "doc_id", "left").select("doc_id", "mark", "size", "blob", "keys", "contents").mapInArrow(_written, "key long, content long, owner long, words binary")
 
     owners = _searched(written(flagged.where("NOT hot"))).unionByName(window_owners(written(flagged.where("hot"))))

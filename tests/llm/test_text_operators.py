@@ -202,6 +202,24 @@ def test_repeats_edges(spark):
     assert {r.n_removed for r in substring.remove_repeats(twice).collect()} == {0}
 
 
+def test_segments_are_written_for_their_owner():
+    import pyarrow as pa
+
+    r = random.Random(0)
+    texts = pa.array([" ".join(r.choice("abcdefgh") + str(r.randrange(99)) for _ in range(40))] * 2, pa.large_string())
+    s = substring.Segments(texts)
+    content = s.contents(np.arange(len(s.key)))
+    one, two = (np.flatnonzero(s.row == 1)[:2]).tolist()
+    # the earlier row has both segments, but is the owner of neither content: it was asked for another one of the same key
+    keys = pa.array([[int(s.key[one])], [int(s.key[one]), int(s.key[two])]], pa.list_(pa.int64()))
+    contents = pa.array([[1], [int(content[one]), int(content[two])]], pa.list_(pa.int64()))
+    raw = [x.encode() for x in texts.to_pylist()]
+    blobs = pa.array([pa.Codec("zstd", 3).compress(x, asbytes=True) for x in raw], pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array([9, 3], pa.int64()), pa.array([0, 0], pa.int32()), pa.array([len(x) for x in raw], pa.int64()), blobs, keys, contents], names=["doc_id", "mark", "size", "blob", "keys", "contents"])
+    got = [x for b in substring._written(iter([batch])) for x in b.to_pylist()]
+    assert {(x["key"], x["owner"]) for x in got} == {(int(s.key[one]), 3), (int(s.key[two]), 3)}
+
+
 def test_repeats_of_the_tables(spark):
     want = {i: (n, g, hashlib.sha256(t.encode()).hexdigest()) for i, (n, g, t) in removed([(r.doc_id, r.text) for r in frames.read(spark, FOLDER, "documents").collect()]).items()}
     assert {r.doc_id: tuple(r)[1:] for r in catalog.QUERIES["op5_fm_index_substring_dedup"](spark, FOLDER).collect()} == want
