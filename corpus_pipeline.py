@@ -10,6 +10,8 @@ from spanlake.llm.frames import bound_batches, cut, read
 
 #: The columns of documents, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near copies are linked from this similarity on, in hundredths: a stage's "0.8 or more", read as op9's 0.85.
+NEAR_PERCENT = 85
 #: A text whose best cosine is lower than this is like no language that was learned.
 MIN_SCORE = 0.02
 
@@ -40,7 +42,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows without a doc_id all stay: nothing says which of them is which.
     """
     bound_batches(spark)
-    kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = neardup.near_duplicates(docs, NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     once = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
     named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(once)).where("_row = 1").drop("_row")
     return named.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,35 @@ BANDS, ROWS = 36, 7
 NARROW_BANDS, NARROW_ROWS = 420, 21
 #: Rounds that try one partner a bucket before all pairs between the groups that are left are tried.
 ROUNDS = 6
+#: Chances that all bands of a kind miss a pair at the threshold, from which other thresholds get their number of bands.
+MISS, NARROW_MISS = 1e-6, 8e-7
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+class Bands(NamedTuple):
+    """Least similarity of a link in hundredths, and the bands and coordinates a band of both kinds."""
+
+    percent: int
+    bands: int
+    rows: int
+    narrow_bands: int
+    narrow_rows: int
+
+
+def bands_for(percent: int = PERCENT) -> Bands:
+    """Bands for a threshold: as long as a band meets a pair at it about as often as at PERCENT, and enough of them.
+
+    At PERCENT they are BANDS of ROWS and NARROW_BANDS of NARROW_ROWS.
+    """
+    if not 0 < percent <= 99:
+        raise ValueError("percent is from 1 to 99")
+    sim = percent / 100
+    scale = math.log(PERCENT / 100) / math.log(sim)
+    rows, narrow = (max(1, math.ceil(n * scale - 1e-9)) for n in (ROWS, NARROW_ROWS))
+    enough = lambda miss, n: math.ceil(math.log(miss) / math.log1p(-(sim**n)))
+    return Bands(percent, enough(MISS, rows), rows, enough(NARROW_MISS, narrow), narrow)
+
+
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     """The sorted distinct shingles of each row as 64-bit hashes; fewer words than a shingle are one."""
     data, offsets = buffers(column)
@@ -80,14 +108,14 @@ def band_keys(sketch: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nd
     return key
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch], of: Bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             sets = shingle_sets(part.column("text"))
-            keys = band_keys(sketches(sets, BANDS * ROWS))
+            keys = band_keys(sketches(sets, of.bands * of.rows), of.bands, of.rows)
             n = np.array([len(s) for s in sets], np.int64)
             prints = [np.array([f(s) for s in sets], np.uint64) for f in (lambda s: mix(s ^ np.uint64(0xA5A5)).sum(dtype=np.uint64), lambda s: mix(s + np.uint64(0x5EED)).sum(dtype=np.uint64))]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * BANDS, pa.int32()), signed(keys.reshape(-1)))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * of.bands, pa.int32()), signed(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), signed(prints[0]), signed(prints[1]), lists], names=["doc_id", "n", "p", "q", "bands"])
 
 
@@ -105,17 +133,17 @@ def _texts(batch: pa.RecordBatch, side: str = "") -> Iterator[bytes]:
         yield codec.decompress(blob.as_buffer(), size, asbytes=True)
 
 
-def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _narrowed(batches: Iterator[pa.RecordBatch], of: Bands) -> Iterator[pa.RecordBatch]:
     """The narrow bands of documents."""
     for batch in batches:
         for part in (batch.slice(a, 50) for a in range(0, batch.num_rows, 50)):
             sets = shingle_sets(pa.array([t.decode() for t in _texts(part)], pa.large_string()))
-            keys = band_keys(sketches(sets, NARROW_BANDS * NARROW_ROWS), NARROW_BANDS, NARROW_ROWS)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * NARROW_BANDS, pa.int32()), signed(keys.reshape(-1)))
+            keys = band_keys(sketches(sets, of.narrow_bands * of.narrow_rows), of.narrow_bands, of.narrow_rows)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * of.narrow_bands, pa.int32()), signed(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([len(x) for x in sets], pa.int64()), lists], names=["node", "n", "bands"])
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Whether each pair is a link, and its Jaccard distance, from the full sets."""
     codec = pa.Codec("zstd", 1)
     for batch in batches:
@@ -135,21 +163,26 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pair.append(known[key])
             both = len(np.intersect1d(*pair, assume_unique=True))
             union = len(pair[0]) + len(pair[1]) - both
-            links.append(100 * both >= PERCENT * union)
+            links.append(100 * both >= percent * union)
             distances.append(1 - both / union)
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(links, pa.bool_()), pa.array(distances, pa.float64())], names=["a", "b", "link", "distance"])
 
 
-def _sizes_fit(x: Column, y: Column) -> Column:
-    return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
+def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def _with(run: Callable, what: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: run(batches, what)
 
 
 class _Search:
     """Buckets of classes of equal sets, and the groups found so far."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, of: Bands):
+        self.of = of
         rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        self.rows = cut(rows.mapInArrow(_sketched, "doc_id long, n long, p long, q long, bands array<long>"))
+        self.rows = cut(rows.mapInArrow(_with(_sketched, of), "doc_id long, n long, p long, q long, bands array<long>"))
         known = self.rows.where("n > 0 AND doc_id IS NOT NULL")
         self.classes = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"))
         tops = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
@@ -168,7 +201,7 @@ class _Search:
         """a, b, link and distance of pairs (a, b), from their full texts. If rows share a doc_id, each of their texts is tried."""
         side = lambda s: self.blobs.select(F.col("doc_id").alias(s), F.col("size").alias(f"{s}_size"), F.col("blob").alias(f"{s}_blob"))
         joined = pairs.join(side("a"), "a").join(side("b"), "b")
-        return joined.mapInArrow(_verified, "a long, b long, link boolean, distance double")
+        return joined.mapInArrow(_with(_verified, self.of.percent), "a long, b long, link boolean, distance double")
 
     def add(self, pairs: DataFrame) -> bool:
         """Verifies pairs that weren't yet and joins the groups that they link; false if they link none."""
@@ -190,7 +223,7 @@ class _Search:
         """Puts the members that are left into the buckets of narrow bands."""
         left = self.members.select("node").distinct()
         texts = self.blobs.withColumnRenamed("doc_id", "node").join(left, "node", "left_semi")
-        bands = texts.repartition(F.col("node")).mapInArrow(_narrowed, "node long, n long, bands array<long>")
+        bands = texts.repartition(F.col("node")).mapInArrow(_with(_narrowed, self.of), "node long, n long, bands array<long>")
         self.members = cut(bands).select(F.explode("bands").alias("key"), "node", "n")
 
     def open(self) -> DataFrame:
@@ -211,15 +244,15 @@ def _low(key: Column) -> Column:
 MEMBER = ("node", "n", "root", "anchor", "distance")
 
 
-def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
+def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Each member with each p of its bucket that could be a link to another group, the greater node first.
 
     Sizes must fit; and as the Jaccard distance is a metric, two members whose distances from one anchor
     differ by more than a link's distance are no link.
     """
-    fit = (F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"))
+    fit = (F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"), percent)
     if "root" in members.columns:
-        apart = (F.col("anchor") == F.col("p.anchor")) & (F.abs(F.col("distance") - F.col("p.distance")) > 1 - PERCENT / 100 + 1e-9)
+        apart = (F.col("anchor") == F.col("p.anchor")) & (F.abs(F.col("distance") - F.col("p.distance")) > 1 - percent / 100 + 1e-9)
         fit = fit & (F.col("root") != F.col("p.root")) & ~F.coalesce(apart, F.lit(False))
     if "keys" in members.columns:  # a pair counts in the first bucket that it shares
         fit = fit & (F.array_min(F.array_intersect("keys", "p.keys")) == _low(F.col("key")))
@@ -229,24 +262,24 @@ def _pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
     return joined.select(pick("node", "p.node").alias("a"), pick("p.node", "node").alias("b"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of docs (doc_id long, text string).
 
-    Shingles are 5 words, with A-Z in lower case; a link needs a similarity of 0.85 or more, confirmed on the
-    full sets. Documents of equal sets are one class, found by 128-bit sums of hashes, and only its first
+    Shingles are 5 words, with A-Z in lower case; a link needs a similarity of `percent` hundredths or more,
+    confirmed on the full sets. Documents of equal sets are one class, found by 128-bit sums of hashes, and only its first
     document is compared. Classes that share a band of the sketch are candidates. Not all pairs of a bucket
     are tried: first each class with the least class it meets most often, then one partner a bucket. Members of
     buckets that still hold several groups get a longer sketch and narrow bands, which tell similarities of
-    0.7 and 0.85 well apart; there again one partner a bucket is tried, and at last all pairs between groups that
+    0.7 and 0.85 well apart (other thresholds likewise); there again one partner a bucket is tried, and at last all pairs between groups that
     are left. A pair within a group can change nothing, so no link that matters is left out.
 
     A text without words, an empty one or null has n_shingles 0 and stays alone. Rows with one doc_id are
     one document for links; a null doc_id links to nothing and is kept. Columns other than the two are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    search = _Search(docs)
+    search = _Search(docs, bands_for(percent))
     pivots = search.members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"))
-    starry = _pairs(search.members, pivots).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    starry = _pairs(search.members, pivots, percent).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
     best = starry.groupBy("a").agg(F.max(F.struct("c", (-F.col("b")).alias("minus"))).alias("x"))
     search.add(best.select("a", (-F.col("x.minus")).alias("b")))
     for turn in range(ROUNDS + 1):
@@ -258,11 +291,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         strays = left.join(per.select("key", F.col("main.root").alias("main")), "key").where("root <> main")
         if turn > 0 and (turn == ROUNDS or not moved or todo.pairs <= 16 * todo.n):
             keys = left.groupBy("node").agg(F.collect_set(_low(F.col("key"))).alias("keys"))  # one of NARROW_BANDS at most
-            search.add(_pairs(strays.join(keys, "node"), left.join(keys, "node").select("key", F.struct(*MEMBER, "keys").alias("p"))))
+            search.add(_pairs(strays.join(keys, "node"), left.join(keys, "node").select("key", F.struct(*MEMBER, "keys").alias("p")), percent))
             break
         random = F.xxhash64("node", "key", F.lit(turn))
         mains = left.join(per.select("key", F.col("main.root").alias("root")), ["key", "root"]).groupBy("key").agg(F.min_by(F.struct(*MEMBER), random).alias("p"))
-        moved = search.add(_pairs(strays, mains))
+        moved = search.add(_pairs(strays, mains, percent))
         if turn == 0:
             search.open()  # drops the buckets that are done now
             search.narrow()

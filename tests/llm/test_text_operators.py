@@ -373,6 +373,14 @@ def test_near_duplicates(spark):
     assert got == groups(list(enumerate(texts)))
 
 
+def test_near_duplicates_from_another_threshold(spark):
+    assert neardup.bands_for(85) == (85, neardup.BANDS, neardup.ROWS, neardup.NARROW_BANDS, neardup.NARROW_ROWS)
+    base = [f"w{i}" for i in range(204)]
+    texts = [" ".join(base), " ".join(base[:182] + [f"x{i}" for i in range(22)]), " ".join(base[:150] + [f"y{i}" for i in range(54)])]
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in neardup.near_duplicates(make(spark, *texts), 80).collect()}
+    assert got == groups(list(enumerate(texts)), 80) and [got[i][2] for i in range(3)] == [True, False, True]
+
+
 def test_near_duplicates_edges(spark):
     rows = neardup.near_duplicates(odd(spark)).collect()
     assert len(rows) == 8 and all(r.kept for r in rows)
