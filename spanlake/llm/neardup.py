@@ -236,11 +236,6 @@ class _Search:
         return held.join(self.anchors, "node", "left")
 
 
-def _low(key: Column) -> Column:
-    """Half of a key's bits: enough to tell a member's buckets apart."""
-    return F.shiftright(key, 32).cast("int")
-
-
 MEMBER = ("node", "n", "root", "anchor", "distance")
 
 
@@ -255,7 +250,7 @@ def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
         apart = (F.col("anchor") == F.col("p.anchor")) & (F.abs(F.col("distance") - F.col("p.distance")) > 1 - percent / 100 + 1e-9)
         fit = fit & (F.col("root") != F.col("p.root")) & ~F.coalesce(apart, F.lit(False))
     if "keys" in members.columns:  # a pair counts in the first bucket that it shares
-        fit = fit & (F.array_min(F.array_intersect("keys", "p.keys")) == _low(F.col("key")))
+        fit = fit & (F.array_min(F.array_intersect("keys", "p.keys")) == F.col("key"))
     joined = members.join(pivots, "key").where(fit)
     hi = F.col("node") > F.col("p.node")
     pick = lambda x, y: F.when(hi, F.col(x)).otherwise(F.col(y))
@@ -290,7 +285,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         strays = left.join(per.select("key", F.col("main.root").alias("main")), "key").where("root <> main")
         if turn > 0 and (turn == ROUNDS or not moved or todo.pairs <= 16 * todo.n):
-            keys = left.groupBy("node").agg(F.collect_set(_low(F.col("key"))).alias("keys"))  # one of NARROW_BANDS at most
+            keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))  # whole keys, narrow bands at most
             search.add(_pairs(strays.join(keys, "node"), left.join(keys, "node").select("key", F.struct(*MEMBER, "keys").alias("p")), percent))
             break
         random = F.xxhash64("node", "key", F.lit(turn))

@@ -381,6 +381,17 @@ def test_near_duplicates_from_another_threshold(spark):
     assert got == groups(list(enumerate(texts)), 80) and [got[i][2] for i in range(3)] == [True, False, True]
 
 
+def test_pairs_of_keys_with_equal_halves(spark):
+    # the keys 1 and 2 of a and b differ, but have the same upper half, less than that of the bucket that both share
+    shared, keys = 9 << 32, {1: [5 << 32 | 1, 9 << 32], 2: [5 << 32 | 2, 9 << 32]}
+    rows = [(shared, k, 10, k, k, 0.0) for k in keys]
+    frame = spark.createDataFrame(rows, "key long, node long, n long, root long, anchor long, distance double")
+    held = frame.join(spark.createDataFrame(list(keys.items()), "node long, whole array<long>"), "node")
+    kept = held.withColumnRenamed("whole", "keys")
+    pairs = neardup._pairs(kept, kept.select("key", F.struct(*neardup.MEMBER, "keys").alias("p")), 85)
+    assert {tuple(r) for r in pairs.collect()} == {(2, 1)}
+
+
 def test_near_duplicates_edges(spark):
     rows = neardup.near_duplicates(odd(spark)).collect()
     assert len(rows) == 8 and all(r.kept for r in rows)
