@@ -12,14 +12,23 @@ from spanlake.llm.frames import bound_batches, cut, read
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near copies are linked from this similarity on, in hundredths: a stage's "0.8 or more", read as op9's 0.85.
 NEAR_PERCENT = 85
-#: A text whose best cosine is lower than this is like no language that was learned.
-MIN_SCORE = 0.02
+#: A text goes whose best cosine is below that of this share of the training rows that were labelled and found to be of the
+#: language, or below so many standard deviations of an unrelated bundle's cosine (1 / sqrt(DIM)).
+LOW_SCORE, NOISE = 0.005, 4
+#: Rank error of the quantiles: 1 / ACCURACY of the rows of a language.
+ACCURACY = 100_000
+
+
+def least_scores(scored: DataFrame, lang: str = "lang", found: str = "_predicted", score: str = "_score") -> dict[str, float]:
+    """The least score of each language, from scored training rows that are labelled with the language found."""
+    right = scored.where(F.col(found) == F.col(lang)).groupBy(F.col(found).alias("l"))
+    return {r.l: r.q for r in right.agg(F.percentile_approx(score, LOW_SCORE, ACCURACY).alias("q")).collect()}  # MAX_LANGS rows at most
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters (null and empty ones too) and those like no learned language; fills in null languages.
 
-    Languages are learned from the labelled rows of the training folds. Without any label nothing is learned; then
+    What is too unlike comes from the scores of all labelled training rows, by language, and from noise. Languages are learned from the labelled rows of the training folds. Without any label nothing is learned; then
     only texts without letters go.
     """
     bound_batches(spark)
@@ -27,7 +36,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not prototypes:
         return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     found = langid.predict(docs.select(*COLUMNS), prototypes, out_lang="_predicted", out_score="_score")
-    return found.where((F.col("_predicted") != langid.UNKNOWN) & (F.col("_score") >= MIN_SCORE)).withColumn("lang", F.coalesce("lang", "_predicted")).select(*COLUMNS)
+    training = docs.where(~langid.held_out() & F.col("lang").isNotNull()).select("text", "lang")
+    least = least_scores(langid.predict(training, prototypes, out_lang="_predicted", out_score="_score").drop("text"))
+    noise = NOISE / langid.DIM**0.5
+    cutoffs = F.create_map(*[F.lit(x) for k in prototypes for x in (k, max(noise, least.get(k, noise)))])
+    return found.where((F.col("_predicted") != langid.UNKNOWN) & (F.col("_score") >= cutoffs[F.col("_predicted")])).withColumn("lang", F.coalesce("lang", "_predicted")).select(*COLUMNS)
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

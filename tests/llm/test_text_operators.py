@@ -467,6 +467,16 @@ def test_rules_edges(spark):
 # pipeline
 
 
+def test_unlearned_languages_are_rejected(spark):
+    import corpus_pipeline
+
+    learned = frames.read(spark, FOLDER, "documents").select(*corpus_pipeline.COLUMNS)
+    alien = ["Съешь же ещё этих мягких французских булок да выпей чаю", "これは日本語の文章です。東京は大きい。", "Ta eestikeelne lause räägib merest ja metsast ning vanadest linnadest", "Yeni şehirlerde yaşayan insanlar çok çalışıyor ve evlerine geç dönüyorlar", "xkq zzvt qqpl wrtk jjhg vbnm", "Ελληνικό κείμενο για τη θάλασσα και τα βουνά"]
+    rows = spark.createDataFrame([(10_000 + i, t, None, "s", len(t)) for i, t in enumerate(alien)], SHAPE)
+    got = {r.doc_id for r in corpus_pipeline.identify_language(spark, learned.unionByName(rows), FOLDER).select("doc_id").collect()}
+    assert got == {r.doc_id for r in learned.select("doc_id").collect()}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
