@@ -16,6 +16,8 @@ from spanlake.llm.textio import NOT_SPACE, buffers, byte_table, grams, room, row
 MIN_WORDS, MAX_REPEAT, REPEAT_WINDOW = 20, 30, 8
 #: Share of good documents that may be lost in a stratum, and the chance that a bound is wrong anywhere.
 ALPHA, DELTA = 0.01, 0.05
+#: Share of a stratum's part of DELTA for the test of all rules together; the rest is for the rules one by one.
+UNION_SHARE = 0.8
 #: Cutoffs tried for each rule, at even steps of the range 0 to 1 that every rate has.
 STEPS = 40
 #: Strata with rules of their own; others, and rows of null, share the rules of the rest. It bounds the rules.
@@ -81,6 +83,9 @@ RULES = {
 }
 
 
+_ANY = "any"
+
+
 def _tail(k: int, n: int, p: float) -> float:
     """P(at most k of n) for a binomial, from logs."""
     if p <= 0 or k >= n:
@@ -103,28 +108,46 @@ def upper_bound(k: int, n: int, delta: float) -> float:
     return high
 
 
-def choose(counts: dict[tuple[str, str, int], int], goods: dict[str, int], rules: Sequence[str], alpha: float, delta: float, steps: int = STEPS) -> dict[str, dict[str, float]]:
-    """The lowest safe cutoff of each rule in each stratum.
+def choose(counts: dict[tuple[str, str, int], int], goods: dict[str, int], rules: Sequence[str], alpha: float, delta: float, steps: int = STEPS, union: dict[tuple[str, int], int] | None = None) -> dict[str, dict[str, float]]:
+    """The safe cutoffs of the rules in each stratum; no entry if there are none.
 
     counts has, for a stratum, rule and step, how many good documents of the holdout have a rate above
-    step / steps. A document is lost if any rule rejects it, so each rule may lose alpha / rules of the good
-    ones; and delta is shared out over all strata and rules (Bonferroni). Within a rule the cutoffs are
-    tried from the mildest on and the first whose bound is too high ends the search, which needs no
-    further correction (fixed sequence). No safe cutoff: the rule is not used there.
+    step / steps; union has, for a stratum and step, how many have any rate above it. A document is lost if any
+    rule rejects it. delta is shared out over the strata (Bonferroni), and a stratum's part over two ways:
+
+    - together: all rules have one cutoff, and the union of what they reject may lose alpha of the good ones. It needs
+      few labels, but the rule that good text meets first holds up the others.
+    - one by one: each rule may lose alpha / rules, and this way's part is shared out over the rules. It needs many.
+
+    Cutoffs are tried from the mildest on and the first whose bound is too high ends the search, which needs no
+    further correction (fixed sequence). Both ways are safe at once, so either may be taken: the second if it
+    has a cutoff for every rule, else the one with the lower sum of cutoffs (1 for a rule that is not used). Without `union` there is only the second way.
     """
-    share, each = alpha / max(1, len(rules)), delta / max(1, len(rules) * len(goods))
+    whole = delta / max(1, len(goods))
+    together = UNION_SHARE * whole if union is not None else 0.0
+    share, each = alpha / max(1, len(rules)), (whole - together) / max(1, len(rules))
     out: dict[str, dict[str, float]] = {}
     for stratum, n in goods.items():
-        for rule in rules:
-            for step in range(steps - 1, -1, -1):
-                if upper_bound(counts.get((stratum, rule, step), 0), n, each) > share:
-                    break
-                out.setdefault(stratum, {})[rule] = step / steps
+        lowest = lambda lost, most, chance, n=n: _lowest([lost(k) for k in range(steps)], n, most, chance)
+        single = {rule: c for rule in rules if (c := lowest(lambda k, s=stratum, r=rule: counts.get((s, r, k), 0), share, each)) < 1}
+        best = single
+        if union is not None and len(single) < len(rules) and (c := lowest(lambda k, s=stratum: union.get((s, k), 0), alpha, together)) < 1 and c * len(rules) < sum(single.get(x, 1.0) for x in rules):
+            best = dict.fromkeys(rules, c)
+        if best:
+            out[stratum] = best
     return out
 
 
+def _lowest(lost: Sequence[int], n: int, most: float, chance: float) -> float:
+    """The lowest step, as a part of all, down to which no bound of the rate lost of n is over `most`; 1 if there is none."""
+    step = len(lost)
+    while step and upper_bound(lost[step - 1], n, chance) <= most:
+        step -= 1
+    return step / len(lost)
+
+
 def fit(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA, steps: int = STEPS) -> dict[str, dict[str, float]]:
-    """Cutoffs by stratum and rule from all labelled documents.
+    """Cutoffs by stratum and rule from all labelled documents; a stratum without a safe cutoff has an empty entry.
 
     Counts of good documents (quality 1) by stratum, rule and step meet on the driver: MAX_STRATA x rules x
     steps numbers at most. Strata beyond the MAX_STRATA with the most good documents, and null, are taken
@@ -132,24 +155,27 @@ def fit(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: s
     """
     good = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.min("quality").alias("q")).where("q = 1").select("_id")
     rates = [F.expr(e).alias(r) for r, e in RULES.items()]
+    rates.append(F.greatest(*[F.expr(e) for e in RULES.values()]).alias(_ANY))
     held = measured.join(good, F.col(doc_id) == F.col("_id"), "left_semi").select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("s"), *rates)
     sizes = {r.s: r.n for r in held.groupBy("s").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "s").limit(MAX_STRATA).collect()}
     names = sorted(sizes)
     held = held.withColumn("s", F.when(F.col("s").isin(names), F.col("s")).otherwise(F.lit("")))
-    long = held.select("s", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * steps).cast("int").alias("bin")) for r in RULES])).alias("x")).groupBy("s", "x.rule", "x.bin").agg(F.count(F.lit(1)).alias("n"))
+    long = held.select("s", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * steps).cast("int").alias("bin")) for r in (*RULES, _ANY)])).alias("x")).groupBy("s", "x.rule", "x.bin").agg(F.count(F.lit(1)).alias("n"))
     bins = {(r.s, r.rule, r.bin): r.n for r in long.collect()}  # strata x rules x steps
     goods: dict[str, int] = {}
     counts: dict[tuple[str, str, int], int] = {}
     for (s, rule, b), n in bins.items():
-        if rule == "symbols":
+        if rule == _ANY:
             goods[s] = goods.get(s, 0) + n
         for step in range(min(b, steps)):  # a rate in bin b is above every step below b
             counts[s, rule, step] = counts.get((s, rule, step), 0) + n
-    return choose(counts, goods, list(RULES), alpha, delta, steps)
+    union = {(s, step): n for (s, rule, step), n in counts.items() if rule == _ANY}
+    chosen = choose(counts, goods, list(RULES), alpha, delta, steps, union)
+    return {s: chosen.get(s, {}) for s in goods}
 
 
 def judge(measured: DataFrame, cutoffs: dict[str, dict[str, float]], stratum: str = "lang") -> DataFrame:
-    """Adds base_failed, rejected_by (names of rules, array) and kept. A stratum without cutoffs has those of '', if any."""
+    """Adds base_failed, rejected_by (names of rules, array) and kept. A stratum that wasn't fitted has those of '', if any; one without a safe cutoff none."""
     name = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
     own = F.when(name.isin(list(cutoffs)), name).otherwise(F.lit("")) if cutoffs else F.lit("")
     tests = []

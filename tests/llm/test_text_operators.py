@@ -458,6 +458,29 @@ def test_cutoffs_keep_the_risk():
     assert quality.choose({}, {"s": 10}, ["rule"], 0.01, 0.05) == {}
 
 
+def test_small_strata_get_cutoffs(spark):
+    good = prose(60, 1, 4000)
+    rows = [(i, good, "fr", "s", len(good)) for i in range(700)] + [(700 + i, good, None, "s", len(good)) for i in range(900)] + [(1600 + i, good, "es", "s", len(good)) for i in range(50)]
+    bad = " ".join(w + " $$ ## ** $# &&" for w in good.split())
+    rows += [(9000 + i, bad, lang, "s", len(bad)) for i, lang in enumerate(["fr", "es", None, "xx"])]
+    labels = spark.createDataFrame([(i, 1) for i in range(1650)], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality.apply_rules(spark.createDataFrame(rows, SHAPE), labels).where("kept").select("doc_id").collect()}
+    assert kept == set(range(1650)) | {9001}  # es has too few labels: no rules, those of null neither
+    cut = quality.choose({("s", r, k): 0 for r in "abcdef" for k in range(40)}, {"s": 600}, list("abcdef"), 0.01, 0.05, union={("s", k): 600 * (k < 10) for k in range(40)})
+    assert cut == {"s": dict.fromkeys("abcdef", 0.25)}
+
+
+def test_union_keeps_the_risk():
+    r, lost = np.random.default_rng(1), 0
+    for _ in range(60):
+        sample = r.random((900, 3)) ** 4
+        counts = {("s", str(j), k): int((sample[:, j] > k / 40).sum()) for k in range(40) for j in range(3)}
+        union = {("s", k): int((sample.max(axis=1) > k / 40).sum()) for k in range(40)}
+        cut = quality.choose(counts, {"s": 900}, list("012"), 0.05, 0.05, union=union).get("s", {})
+        lost += 1 - np.prod([cut.get(x, 1.0) ** 0.25 for x in "012"]) > 0.05
+    assert lost <= 6
+
+
 def test_rules_edges(spark):
     labels = spark.createDataFrame([(4, 1), (4, 0), (None, 1), (99, 1)], "doc_id long, quality int")
     assert quality.apply_rules(odd(spark), labels).count() == 8
