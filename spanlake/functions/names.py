@@ -12,7 +12,7 @@ REASON_PREFIXES = (
     "Flight returned unauthorized error, with message:", "Error getting flight info or do_get:",
 )
 NOT_YET_INDEXED = ("model does not exist or denied access to the model", "project not found", "cannot find data from last")
-#: Parts of a setting's name that mark a secret.
+#: Parts of a setting's name that mark a secret.
 SECRET_PARTS = ("KEY", "SECRET", "TOKEN", "PASSWORD", "CREDENTIAL")
 
 
@@ -70,6 +70,13 @@ def parse_pairs(text: Column) -> Column:
     return F.map_from_entries(last)
 
 
+def pair_error(text: Column) -> Column:
+    """What is wrong with `a=x,b=y` read strictly: the first part without = or with an empty side; null if all are right."""
+    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p != "")
+    bad = F.filter(parts, lambda p: ~p.rlike(r"\A\s*[^=\s][^=]*=\s*\S"))
+    return F.when(F.size(bad) > 0, F.concat(F.lit("not a pair: "), F.element_at(bad, 1)))
+
+
 def deep_link(host: str, space: Column, project: Column, start: Column, end: Column) -> Column:
     """A link to a project's spans in a range of time, with encoded parts and milliseconds."""
     millis = lambda c: F.unix_millis(c.cast("timestamp")).cast("string")

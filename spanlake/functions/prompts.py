@@ -20,6 +20,10 @@ NOT_INVOCATION_KEYS = ("model", "provider", "api_version", "deployment")
 SOURCE_COLUMNS = {"input": "attributes.input.value", "output": "attributes.output.value"}
 UNMAPPABLE_SOURCES = ("tool_calls", "expected_output", "experiment_item_metadata")
 NUMERIC_STEPS = 11
+#: What a judge's prompt says before its guidance; judges are compared by their whole prompts.
+GUIDANCE = ("Scoring guidance: ", "Reasoning guidance: ", "Respond with exactly one of: ")
+#: Fixed value: how variables are written in the prompts that are made.
+VARIABLE_FORMAT = "MUSTACHE"
 _MUSTACHE = r"\{\{\s*([A-Za-z_][A-Za-z0-9_.]*)\s*\}\}"
 _MESSAGES = "array<struct<role: string, content: string>>"
 
@@ -90,7 +94,7 @@ def flat_prompt(messages: Column) -> Column:
 def guidance(value: Column, reasoning: Column, choices: Column) -> Column:
     """Lines of guidance for those of the three that are there; choices: names in order."""
     filled = lambda c: F.when(c != "", c)
-    return F.concat_ws("\n", F.concat(F.lit("Scoring guidance: "), filled(value)), F.concat(F.lit("Reasoning guidance: "), filled(reasoning)), F.when(F.size(choices) > 0, F.concat(F.lit("Respond with exactly one of: "), F.array_join(choices, ", "))))
+    return F.concat_ws("\n", F.concat(F.lit(GUIDANCE[0]), filled(value)), F.concat(F.lit(GUIDANCE[1]), filled(reasoning)), F.when(F.size(choices) > 0, F.concat(F.lit(GUIDANCE[2]), F.array_join(choices, ", "))))
 
 
 def numeric_choices(low: Column, high: Column) -> Column:
@@ -122,3 +126,11 @@ def code_file(name: Column, ident: Column, language: Column) -> Column:
     """A file name for an evaluator's code; the id keeps equal names apart."""
     suffix = F.when(F.upper(language) == "PYTHON", "py").when(F.upper(language) == "TYPESCRIPT", "ts").otherwise("txt")
     return F.concat(F.regexp_replace(F.coalesce(name, F.lit("evaluator")), "[^A-Za-z0-9_.-]+", "_"), F.lit("-"), F.coalesce(ident.cast("string"), F.lit("0")), F.lit("."), suffix)
+
+
+def code_content(name: Column, ident: Column, version: Column, language: Column, description: Column, code: Column) -> Column:
+    """The text of an exported code evaluator: comment lines that say what it was, a blank line, and the code."""
+    mark = F.when(F.upper(language) == "PYTHON", "#").otherwise("//")
+    say = lambda label, value: F.concat(mark, F.lit(f" {label}: "), F.regexp_replace(F.coalesce(value.cast("string"), F.lit("-")), r"\s*[\r\n]+\s*", " "))
+    lines = [say("evaluator", name), say("id", ident), say("version", version), say("language", F.lower(language)), say("description", description), F.concat(mark, F.lit(" not created: port it by hand"))]
+    return F.concat(F.concat_ws("\n", *lines), F.lit("\n\n"), F.coalesce(code, F.lit("")))

@@ -147,6 +147,12 @@ def metadata_object(text: Column) -> Column:
     return F.when(text.isNull() | (body == "null"), "{}").when(whole, body).otherwise(wrapped)
 
 
+def provenance(record: dict[str, Column], kind: str, source: str = "import", extra: dict[str, Column] | None = None) -> Column:
+    """Where a span comes from: source, kind of record, and the record's own id, trace, parent and type, with extras."""
+    fields = {"source": F.lit(source), "record_kind": F.lit(kind), "original_id": record["id"], "original_trace_id": F.coalesce(record["trace_id"], record["id"]), "original_parent_id": record["parent_id"], "original_type": record["type"]} | (extra or {})
+    return F.struct(*[v.cast("string").alias(k) for k, v in fields.items()])
+
+
 def uses_key(json_object: Column, key: str) -> Column:
     """Whether a JSON object has a key."""
     return F.coalesce(F.array_contains(F.json_object_keys(json_object), key), F.lit(False))
@@ -173,15 +179,22 @@ def iso(moment: Column) -> Column:
     return F.concat(whole, F.when(F.date_format(moment, "SSSSSS") != "000000", F.concat(F.lit("."), F.date_format(moment, "SSSSSS"))).otherwise(F.lit("")), F.lit("Z"))
 
 
-def flatten_json(json_object: Column, depth: int = 5) -> Column:
-    """A JSON object's leaves under dotted names (map of text), to a depth; what lies deeper stays JSON text.
+def flatten_json(json_object: Column, depth: int | None = None) -> Column:
+    """A JSON object's leaves under dotted names (map of text, by name), however deep; with a depth, what lies deeper stays JSON text.
 
-    Lists stay JSON text; null and empty lists are left out.
+    Lists stay JSON text; null and empty lists are left out. Of leaves that would have one name the first stays.
     """
     of = "map<string, string>"
-    out = F.from_json(json_object, of)
-    for _ in range(depth - 1):
-        entries = F.map_entries(out)
-        spread = lambda e: F.when(e["value"].startswith("{") & is_json(e["value"]), F.transform(F.map_entries(F.from_json(e["value"], of)), lambda i: F.struct(F.concat(e["key"], F.lit("."), i["key"]).alias("key"), i["value"].alias("value")))).otherwise(F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))
-        out = F.map_from_entries(F.flatten(F.transform(entries, spread)))
-    return F.map_filter(out, lambda k, v: v.isNotNull() & (v != "[]"))
+
+    def spread(e: Column) -> Column:
+        inner = F.transform(F.map_entries(F.from_json(e["value"], of)), lambda i: F.struct(F.concat(e["key"], F.lit("."), i["key"]).alias("key"), i["value"].alias("value")))
+        return F.when(e["value"].startswith("{") & is_json(e["value"]), inner).otherwise(F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+
+    braces = F.length(json_object) - F.length(F.replace(json_object, F.lit("{"), F.lit("")))  # no text is nested deeper
+    turns = braces - 1 if depth is None else F.least(braces - 1, F.lit(depth - 1))
+    steps = F.when(turns > 0, F.sequence(F.lit(1), turns)).otherwise(F.array().cast("array<int>"))
+    leaves = F.aggregate(steps, F.map_entries(F.from_json(json_object, of)), lambda found, _: F.flatten(F.transform(found, spread)))
+    kept = F.filter(leaves, lambda e: e["value"].isNotNull() & (e["value"] != "[]"))
+    names = F.transform(kept, lambda e: e["key"])
+    first = F.filter(kept, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+    return F.map_from_entries(F.array_sort(first))

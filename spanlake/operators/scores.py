@@ -30,17 +30,20 @@ def granularity(kind: Column, subject: Column) -> Column:
     return F.when(subject.isNotNull(), F.try_element_at(table, F.lower(kind)))
 
 
-def classify(scores: DataFrame, trace_roots: DataFrame, space: ids.Namespaces = ids.DEFAULT) -> DataFrame:
+def classify(scores: DataFrame, trace_roots: DataFrame, space: ids.Namespaces = ids.DEFAULT, everything: DataFrame | None = None) -> DataFrame:
     """Scores with clean name, number, label, granularity, whether an annotation, target (span or session id) and a reason if there is none.
 
-    Names that turn into one clean name anywhere in the table collide: all but the least are refused, for all days alike.
+    Names that turn into one clean name anywhere in the table, or in `everything` if given, collide: all but the least are
+    refused, for all days alike.
     """
     number, label = number_and_label(F.col("data_type"), F.col("value_number"), F.col("value_text"))
     level = granularity(F.col("kind"), F.col("subject_id"))
     clean = names.column_name(F.col("name"))
+    source = scores if everything is None else everything
     raw = F.regexp_replace("name", r"(?U)\A\s+|\s+\z", "")
     made = scores.withColumns({"clean": clean, "number": number, "label": label, "granularity": level, "annotation": F.coalesce((F.upper("source") == "ANNOTATION") & (level != "session"), F.lit(False)), "_raw": raw})
-    owner = made.where("clean IS NOT NULL AND granularity IS NOT NULL").groupBy("clean").agg(F.min("_raw").alias("_owner"))
+    named = source.select(clean.alias("clean"), level.alias("level"), raw.alias("_raw")).where("clean IS NOT NULL AND level IS NOT NULL")
+    owner = named.groupBy("clean").agg(F.min("_raw").alias("_owner"))
     roots = trace_roots.select(F.col("trace_id").alias("_trace"), F.col("root_id").alias("_root"))
     joined = made.join(owner, "clean", "left").join(roots, (F.col("granularity") == "trace") & (F.col("subject_id") == F.col("_trace")), "left")
     target = F.when(F.col("granularity") == "span", ids.span_id(F.col("subject_id"), space)).when(F.col("granularity") == "trace", F.col("_root")).when(F.col("granularity") == "session", F.col("subject_id"))
@@ -78,6 +81,44 @@ def skipped(classified: DataFrame) -> DataFrame:
     return classified.where("reason IS NOT NULL").select("id", "name", "reason")
 
 
+def skipped_by_reason(classified: DataFrame) -> DataFrame:
+    """reason, scores: how many scores have no place, by reason; a row of all has the reason null."""
+    return skipped(classified).rollup("reason").agg(F.count(F.lit(1)).alias("scores"))
+
+
+def columns_of(cells: DataFrame) -> DataFrame:
+    """bucket, column, targets: the columns that evaluations and annotations fill."""
+    return cells.groupBy("bucket", "column").agg(F.count(F.lit(1)).alias("targets"))
+
+
+def riding(spans: DataFrame, cells: DataFrame) -> DataFrame:
+    """Spans with evals, the cells that travel with them: an array of (column, number, text) by column; empty without any."""
+    kind = "array<struct<column: string, number: double, text: string>>"
+    own = cells.groupBy(F.col("target").alias("span_id")).agg(F.array_sort(F.collect_list(F.struct("column", "number", "text"))).alias("evals"))
+    return spans.join(own, "span_id", "left").withColumn("evals", F.coalesce("evals", F.array().cast(kind)))
+
+
+def placed(cells: DataFrame, spans: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Cells with day, that of the span they belong to: session cells go to their anchor, whose id is in anchor (null for other cells). Cells without a span are left out."""
+    a = anchors.select(F.col("session_id").alias("_session"), F.col("anchor"))
+    joined = cells.join(a, (F.col("bucket") == "session_evals") & (F.col("target") == F.col("_session")), "left").drop("_session")
+    days = spans.select(F.col("span_id").alias("_span"), "day")
+    return joined.join(days, F.coalesce("anchor", "target") == F.col("_span")).drop("_span")
+
+
+def pending(frames: DataFrame, applied: DataFrame) -> DataFrame:
+    """Deferred cells of days that aren't applied yet, with the window in which their spans are found: the day, an hour wider on both sides."""
+    left = frames.join(applied.select("day").distinct(), "day", "left_anti")
+    hour = F.expr("INTERVAL 1 HOUR")
+    start = F.col("day").cast("timestamp")
+    return left.withColumns({"window_start": start - hour, "window_end": start + F.expr("INTERVAL 1 DAY") + hour})
+
+
+def without_frames(shards: DataFrame, frames: DataFrame) -> DataFrame:
+    """Days that were exported and have no deferred cells written: those to rebuild."""
+    return shards.select("day").distinct().join(frames.select("day").distinct(), "day", "left_anti")
+
+
 def collisions(scores: DataFrame) -> DataFrame:
     """Clean names that several names turn into."""
     return scores.select(names.column_name(F.col("name")).alias("clean"), "name").distinct().where("clean IS NOT NULL").groupBy("clean").agg(F.count(F.lit(1)).alias("names")).where("names > 1")

@@ -110,7 +110,8 @@ def made_up_roots(trace_roots: DataFrame, names: ids.Namespaces = ids.DEFAULT) -
 def assemble(observations: DataFrame, names: ids.Namespaces = ids.DEFAULT, traces: DataFrame | None = None, reattach_orphans: bool = False, extra_kinds: dict[str, str] | None = None) -> DataFrame:
     """All spans of all traces: observations, and made-up roots that parentless rows hang on.
 
-    A parent that doesn't exist stays as it is, unless reattach_orphans hangs such rows on the trace's root.
+    Rows without a trace id are no part of a tree and are left out: `split` rejects them with a reason. A parent that
+    doesn't exist stays as it is, unless reattach_orphans hangs such rows on the trace's root.
     """
     tops = roots(observations, names, traces)
     spans = project(observations, names, extra_kinds).alias("s")
@@ -134,8 +135,8 @@ def session_anchors(observations: DataFrame, trace_roots: DataFrame, per: tuple[
     return joined.groupBy(*per, "session_id").agg(F.min_by("root_id", F.struct("first_start", "trace_id")).alias("anchor"))
 
 
-def wide(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejected): spans under dotted names with nanosecond times; a span without ids or that ends before it starts is rejected."""
+def wide(spans: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): spans under dotted names with nanosecond times; a span without ids or that ends before it starts is rejected. more: further columns, as they are."""
     nanos = lambda c: values.nanos_of_time(F.col(c))
     start, end = nanos("start_time"), F.coalesce(nanos("end_time"), nanos("start_time"))
     reason = F.when(F.col("trace_id").isNull() | F.col("span_id").isNull(), "no ids").when(start.isNull(), "no start time").when(end < start, "ends before it starts")
@@ -149,7 +150,7 @@ def wide(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = marked.where("reason IS NULL").select(
         F.col("trace_id").alias("context.trace_id"), F.col("span_id").alias("context.span_id"), values.or_else(F.col("parent_id")).alias("parent_id"), "name", start.alias("start_time"), end.alias("end_time"),
         F.coalesce(values.or_else(F.col("status_code")), F.lit("UNSET")).alias("status_code"), F.coalesce("status_message", F.lit("")).alias("status_message"), F.coalesce(values.or_else(F.col("span_kind")), F.lit("UNKNOWN")).alias("span_kind"),
-        *[F.col(c).alias(d) for c, d in dotted.items() if c in spans.columns],
+        *[F.col(c).alias(d) for c, d in dotted.items() if c in spans.columns], *more,
     )
     return rows, marked.where("reason IS NOT NULL")
 

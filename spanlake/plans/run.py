@@ -1,9 +1,15 @@
-"""Whole runs: export days of spans and score cells, load batches under a ledger, verify."""
+"""Whole runs: export days of spans and score cells, load batches under a ledger, verify, apply what was deferred.
+
+A target folder has tables by day: spans, batches (the batch of each span), cells (what scores fill), frames (cells that are
+applied after the spans can be found), the ledger of batches, and marks of days whose frames are applied; and one table that
+binds it to a source and a project. The ledger is written last: a day without one is exported anew.
+"""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +18,22 @@ from spanlake.operators import batches, reconcile, scores, spans
 from spanlake.sources import readers, writers
 from spanlake.sources.readers import Source
 
+#: Records of annotations handed over at once, and tries of an update.
+ANNOTATE_ROWS, TRIES = 1000, 8
+
 
 class RunError(Exception):
     """A run that must not go on."""
 
 
+class SendError(Exception):
+    """A batch that a sender could not send. stage: prepare (nothing has left), bulk or quick; status: of the answer, if there was one."""
+
+    def __init__(self, stage: str, status: int | None = None, text: str = ""):
+        super().__init__(text or f"{stage} {status}")
+        self.stage, self.status = stage, status
+
+
 def preflight(source: Source) -> list[dict]:
     """Checks in order: observations are there, have ids and times, scores can be read. A failed fatal check ends them."""
     out: list[dict] = []
@@ -36,11 +53,45 @@ def preflight(source: Source) -> list[dict]:
     return out
 
 
-def export(source: Source, target: str, now: datetime, years: int = 2, most_days: int | None = None, overwrite: bool = False, reattach_orphans: bool = False, batch_rows: int = batches.BATCH_ROWS) -> dict[str, DataFrame]:
-    """Writes spans, score cells and the ledger of all eligible days that aren't complete yet, in one job over all days.
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of a target folder; None if it isn't there yet."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as none:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(none) or "UNABLE_TO_INFER_SCHEMA" in str(none):
+            return None
+        raise
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Writes days of a table; days that it has not stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def bind(spark: SparkSession, target: str, source: str, project: str) -> None:
+    """Binds a target folder to a source and a project. One that is bound to another is refused: a resumed run would split one history."""
+    bound = read_table(spark, f"{target}/binding")
+    if bound is None:
+        spark.createDataFrame([(source, project)], "source string, project string").coalesce(1).write.parquet(f"{target}/binding")
+        return
+    other = batches.conflicts(bound, source, project).first()
+    if other is not None:
+        raise RunError(f"the folder belongs to {other.source!r} and {other.project!r}")
 
-    A day that has an uncertain batch is refused: what landed of it must be found out first. A day that is there and
-    not complete is left as it is, to be loaded further. Returns what was written and what was rejected.
+
+def classified_scores(source: Source, chosen: DataFrame, roots: DataFrame) -> DataFrame:
+    """The scores of chosen observations' traces and sessions, whenever given, once each; names collide over all scores of the source."""
+    everything = source.scores()
+    own = readers.scores_of(everything, chosen, "trace", "trace_id").unionByName(readers.scores_of(everything, chosen.where("session_id IS NOT NULL"), "session", "session_id"))
+    return scores.classify(readers.keep_first(own, "id", "at"), roots, everything=everything)
+
+
+def export(source: Source, target: str, now: datetime, years: int = 2, most_days: int | None = None, overwrite: bool = False, reattach_orphans: bool = False, batch_rows: int = batches.BATCH_ROWS, bulk: bool = True) -> dict[str, DataFrame]:
+    """Writes spans, score cells, deferred frames and, last, the ledger of all eligible days that have none yet, in one job over all days.
+
+    With overwrite, days of which no batch has been sent yet are written anew too; a day with a sent or an uncertain batch
+    is refused. A day that is there is else left as it is, to be loaded further. Returns what was written, what was
+    rejected or skipped, and the cells whose span isn't there. bulk: the way in, on which evaluations ride with spans.
     """
     observations, rejected = spans.split(source.observations())
     observations = spans.by_day(observations)
@@ -49,69 +100,81 @@ def export(source: Source, target: str, now: datetime, years: int = 2, most_days
     spark = observations.sparkSession
     ledger = read_ledger(spark, target)
     if ledger is not None:
-        if not ledger.where(F.col("status") == batches.UNCERTAIN).isEmpty() and overwrite:
-            raise RunError("a batch is uncertain; find out whether it landed before days are written anew")
         if not overwrite:
             days = days.join(ledger.select("day").distinct(), "day", "left_anti")
+        elif not ledger.where(F.col("status") != batches.PENDING).join(days, "day", "left_semi").isEmpty():
+            raise RunError("a batch of these days is sent or uncertain; they can't be written anew")
+    days = spark.createDataFrame(days.collect(), "day date")  # a row a day
     chosen = observations.join(days, "day", "left_semi")
     built = spans.assemble(chosen, reattach_orphans=reattach_orphans).withColumn("day", F.to_date("start_time"))
-    batched = batches.by_rows(built, "day", "span_id", batch_rows)
-    writers.write_days(batched, f"{target}/spans", overwrite=True)
-    written = spark.read.parquet(f"{target}/spans").join(days, "day", "left_semi")
-    batches.batch_table(written, "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{target}/ledger")
-    roots = spans.roots(chosen)
-    own = readers.scores_of(source.scores(), chosen, "trace", "trace_id").unionByName(readers.scores_of(source.scores(), chosen.where("session_id IS NOT NULL"), "session", "session_id"))
-    classified = scores.classify(readers.keep_first(own, "id", "at"), roots)
-    scores.long_columns(classified).write.mode("append").parquet(f"{target}/cells")
-    return {"spans": written, "rejected": rejected, "skipped": scores.skipped(classified), "cells": spark.read.parquet(f"{target}/cells")}
+    writers.write_days(built, f"{target}/spans", overwrite=True)
+    of_days = lambda name, schema: spark.read.schema(schema).parquet(f"{target}/{name}").join(days, "day", "left_semi")  # noqa: E731  there may be no day
+    written = of_days("spans", built.schema)
+    batched = batches.by_rows(written.select("day", "span_id"), "day", "span_id", batch_rows)
+    write_table(batched, f"{target}/batches")
+    classified = classified_scores(source, chosen, spans.roots(chosen))
+    anchors = spans.session_anchors(chosen, spans.roots(chosen))
+    cells = scores.long_columns(classified)
+    placed = scores.placed(cells, written, anchors)
+    write_table(placed, f"{target}/cells")
+    placed = of_days("cells", placed.schema)
+    write_table(deferred_cells(placed, bulk), f"{target}/frames")
+    write_table(batches.batch_table(of_days("batches", batched.schema), "day"), f"{target}/ledger")
+    unmatched = cells.select("bucket", "target").distinct().join(placed.select("bucket", "target").distinct(), ["bucket", "target"], "left_anti")
+    return {"spans": written, "rejected": rejected, "skipped": scores.skipped(classified), "unmatched": unmatched, "cells": spark.read.schema(placed.schema).parquet(f"{target}/cells")}
+
+
+def deferred_cells(placed: DataFrame, bulk: bool) -> DataFrame:
+    """Of placed cells those that are applied later, on their span: annotations, and off the bulk path evaluations too."""
+    later = F.lit(True) if not bulk else F.col("bucket") == "annotations"
+    return placed.where(later).select("bucket", F.coalesce("anchor", "target").alias("target"), "column", "number", "text", "day")
 
 
 def read_ledger(spark: SparkSession, target: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{target}/ledger")
-    except Exception as none:  # noqa: BLE001  no ledger yet
-        if "PATH_NOT_FOUND" in str(none) or "UNABLE_TO_INFER_SCHEMA" in str(none):
-            return None
-        raise
+    return read_table(spark, f"{target}/ledger")
 
 
-def _write_ledger(ledger: DataFrame, target: str, day, rows: list[Row]) -> None:
-    spark = ledger.sparkSession
-    spark.createDataFrame(rows, ledger.schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{target}/ledger")
+def _write_ledger(ledger: DataFrame, target: str, rows: list[Row]) -> None:
+    write_table(ledger.sparkSession.createDataFrame(rows, ledger.schema).coalesce(1), f"{target}/ledger")
 
 
-def load(spark: SparkSession, target: str, send: Callable[[DataFrame, object, int], None]) -> dict[str, int]:
+def load(spark: SparkSession, target: str, send: Callable[[DataFrame, object, int], None], bulk: bool = True) -> dict[str, int]:
     """Sends pending batches oldest day first. A batch is marked uncertain before it is sent and submitted after.
 
-    A day with an uncertain batch is passed over. send(spans of the batch, day, batch) raises ValueError if nothing
-    landed (the batch is pending again); any other error leaves it uncertain and ends the day. The ledger of one day is
-    on the driver at a time, a row a batch.
+    On the bulk path a batch's spans carry their evaluations in evals. A day with an uncertain batch is passed over.
+    send(spans of the batch, day, batch) raises SendError where it knows what became of the batch: prepared or rejected,
+    the batch is pending again; any other error leaves it uncertain. Either ends the day. The ledger of one day is on the
+    driver at a time, a row a batch.
     """
     ledger = read_ledger(spark, target)
     if ledger is None:
         raise RunError("nothing is exported")
     out = {"sent": 0, "rejected": 0, "uncertain": 0}
     days = [r.day for r in batches.to_send(ledger).select("day").distinct().orderBy("day").toLocalIterator()]
-    spans_ = spark.read.parquet(f"{target}/spans")
+    spans_, members, cells = spark.read.parquet(f"{target}/spans"), spark.read.parquet(f"{target}/batches"), read_table(spark, f"{target}/cells")
+    of_day = lambda df, day: df.where(F.col("day") == F.lit(day))
     for day in days:
         rows = [r.asDict() for r in ledger.where(F.col("day") == F.lit(day)).orderBy("batch").collect()]
 
-        def move(row: dict, event: str, rows: list[dict] = rows, day=day) -> None:
+        def move(row: dict, event: str, rows: list[dict] = rows) -> None:
             row["status"] = batches.transition(row["status"], event)
-            _write_ledger(ledger, target, day, [Row(**r) for r in rows])
+            _write_ledger(ledger, target, [Row(**r) for r in rows])
 
         for row in rows:
             if row["status"] != batches.PENDING:
                 continue
+            own = of_day(members, day).where(F.col("batch") == row["batch"]).select("span_id")
+            part = of_day(spans_, day).join(own, "span_id", "left_semi")
+            if bulk and cells is not None:
+                inline = of_day(cells, day).where(F.col("bucket") != "annotations")
+                part = scores.riding(part, inline.withColumn("target", F.coalesce("anchor", "target")))
             move(row, "start")
             try:
-                send(spans_.where((F.col("day") == F.lit(day)) & (F.col("batch") == row["batch"])), day, row["batch"])
-            except ValueError:
-                move(row, "rejected")
-                out["rejected"] += 1
-                break
-            except Exception:  # noqa: BLE001  nobody knows what landed
-                out["uncertain"] += 1
+                send(part, day, row["batch"])
+            except Exception as failed:  # noqa: BLE001  what is no SendError may have landed
+                event = batches.outcome_of(failed.stage, failed.status) if isinstance(failed, SendError) else "ambiguous"
+                move(row, event)
+                out["uncertain" if event == "ambiguous" else "rejected"] += 1
                 break
             move(row, "success")
             out["sent"] += 1
@@ -125,7 +188,7 @@ def resolve(spark: SparkSession, target: str, day, batch: int, landed: bool) ->
     for row in rows:
         if row["batch"] == batch:
             row["status"] = batches.transition(row["status"], "found" if landed else "absent")
-    _write_ledger(ledger, target, day, [Row(**r) for r in rows])
+    _write_ledger(ledger, target, [Row(**r) for r in rows])
 
 
 def verify(spark: SparkSession, target: str, readable: DataFrame, time: str = "start_time") -> DataFrame:
@@ -133,5 +196,108 @@ def verify(spark: SparkSession, target: str, readable: DataFrame, time: str = "s
     return reconcile.shortfall(reconcile.expected_days(batches.progress(read_ledger(spark, target))), reconcile.rows_by_day(readable, time))
 
 
+def verify_until(spark: SparkSession, target: str, look: Callable[[], DataFrame], patience: float = 600.0, sleep: Callable[[float], None] = time.sleep) -> list[dict]:
+    """`verify` again and again, with waits that double, until no day is short or patience (seconds) ends; the days that are still short, a row a day."""
+    waited = 0.0
+    for wait in reconcile.delays():
+        short = [r.asDict() for r in verify(spark, target, look()).orderBy("day").collect()]
+        if not short or waited >= patience:
+            return short
+        sleep(wait)
+        waited += wait
+    return []
+
+
 def status(spark: SparkSession, target: str) -> DataFrame:
     return batches.progress(read_ledger(spark, target))
+
+
+def rebuild_frames(source: Source, target: str, bulk: bool = True) -> int:
+    """Writes the deferred frames of exported days that have none, from the source; spans and ledger stay as they are. Returns the number of days."""
+    observations = spans.by_day(spans.split(source.observations())[0])
+    spark = observations.sparkSession
+    ledger, frames = read_ledger(spark, target), read_table(spark, f"{target}/frames")
+    if ledger is None:
+        raise RunError("nothing is exported")
+    days = ledger.select("day").distinct() if frames is None else scores.without_frames(ledger, frames)
+    written = spark.read.parquet(f"{target}/spans").join(days, "day", "left_semi")
+    chosen = observations.join(days, "day", "left_semi")
+    roots = spans.roots(chosen)
+    placed = scores.placed(scores.long_columns(classified_scores(source, chosen, roots)), written, spans.session_anchors(chosen, roots))
+    write_table(deferred_cells(placed, bulk), f"{target}/frames")
+    return days.count()
+
+
+def apply_scores(spark: SparkSession, target: str, annotate: Callable[[DataFrame, datetime, datetime], None], update: Callable[[DataFrame], None], readable: DataFrame, now: datetime, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """Applies the deferred cells of days that aren't applied yet, and marks them if nothing is left over.
+
+    annotate(records of a day: span_id, values, chunk; start and end of its window, an hour wider on both sides) gets
+    annotations; update(cells) gets evaluations whose span is readable and recent enough, and is tried TRIES times. Targets
+    that updates can't reach are permanent and reported. Days are walked through, a row a day on the driver.
+    """
+    frames, marks = read_table(spark, f"{target}/frames"), read_table(spark, f"{target}/applied")
+    if read_ledger(spark, target) is None:
+        raise RunError("nothing is exported")
+    if frames is None:
+        return {"days": 0, "annotations": 0, "evaluations": 0, "unmatched": 0, "problems": []}
+    applied = marks if marks is not None else spark.createDataFrame([], "day date")
+    left = scores.pending(frames, applied)
+    days = [r.day for r in left.select("day").distinct().orderBy("day").collect()]
+    out = {"days": len(days), "annotations": 0, "evaluations": 0, "unmatched": 0, "problems": []}
+    for day in days:
+        records = batches.chunks(scores.annotation_records(left.where(F.col("day") == F.lit(day))), "span_id", ANNOTATE_ROWS)
+        n = records.count()
+        start = datetime.combine(day, datetime.min.time())
+        try:
+            if n:
+                annotate(records, start - timedelta(hours=1), start + timedelta(hours=25))
+            out["annotations"] += n
+        except Exception as failed:  # noqa: BLE001  other days go on
+            out["problems"].append(f"{day}: {str(failed).splitlines()[0][:160] if str(failed) else type(failed).__name__}")
+    evals = left.where("bucket <> 'annotations'")
+    lost = scores.unmatched(evals, readable, F.lit(now))
+    out["unmatched"] = lost.count()
+    found = evals.join(lost, "target", "left_anti").drop("window_start", "window_end")
+    if n := found.count():
+        waits = reconcile.delays(first=3.0)
+        for attempt in range(TRIES):
+            try:
+                update(found)
+                out["evaluations"] = n
+                break
+            except Exception as failed:  # noqa: BLE001  the project may not be there yet
+                if attempt == TRIES - 1:
+                    out["problems"].append(str(failed).splitlines()[0][:160] if str(failed) else type(failed).__name__)
+                else:
+                    sleep(next(waits))
+    if days and not out["problems"]:
+        spark.createDataFrame([(d,) for d in days], "day date").coalesce(1).write.mode("append").parquet(f"{target}/applied")
+    return out
+
+
+def run(source: Source, target: str, now: datetime, send: Callable[[DataFrame, object, int], None], look: Callable[[], DataFrame], annotate: Callable[[DataFrame, datetime, datetime], None], update: Callable[[DataFrame], None], *, name: str = "files", project: str = "default", bulk: bool = True, patience: float = 600.0, sleep: Callable[[float], None] = time.sleep, **options) -> dict:
+    """Preflight, binding, export, load, verification and deferred scores, in this order; a report of each.
+
+    A failed fatal check ends the run before anything is written; days that stay short end it before scores are applied.
+    """
+    began, phases = time.monotonic(), {}
+
+    def timed(phase: str, result):
+        phases[phase] = time.monotonic() - began - sum(phases.values())
+        return result
+
+    checks = timed("preflight", preflight(source))
+    report: dict = {"preflight": checks, "ok": False}
+    if any(c["fatal"] and not c["ok"] for c in checks):
+        return report
+    spark = source.observations().sparkSession
+    bind(spark, target, name, project)
+    done = export(source, target, now, bulk=bulk, **options)
+    report["export"] = timed("export", {k: done[k].count() for k in ("spans", "rejected", "skipped", "unmatched")})
+    report["load"] = timed("load", load(spark, target, send, bulk))
+    report["short"] = timed("verify", verify_until(spark, target, look, patience, sleep))
+    if not report["short"]:
+        report["scores"] = timed("scores", apply_scores(spark, target, annotate, update, look(), now, sleep))
+    report["phases"] = reconcile.phase_shares(phases, report["export"]["spans"])
+    report["ok"] = not (report["short"] or report["load"]["uncertain"] or report["load"]["rejected"] or report.get("scores", {}).get("problems"))
+    return report

@@ -7,6 +7,8 @@ import stat
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from spanlake.functions.names import SECRET_PARTS
+
 
 class SettingsError(Exception):
     """A setting is missing, unreadable or unsafe. The text never holds a secret."""
@@ -36,9 +38,15 @@ DECLARED = (
     Setting("SPANLAKE_MAX_DAYS", int, None, "days in one run, oldest first"),
     Setting("SPANLAKE_OVERWRITE", bool, False, "replace days that are there"),
     Setting("SPANLAKE_REATTACH_ORPHANS", bool, False, "hang spans with a lost parent on the root"),
+    Setting("SPANLAKE_DESTINATION", help="folder that batches, annotations and updates go to"),
+    Setting("SPANLAKE_VERIFY_SECONDS", int, 600, "patience until all spans can be read back"),
+    Setting("SPANLAKE_INTEGRATIONS", help="integrations of evaluators by provider, as a=x,b=y"),
+    Setting("SPANLAKE_DEFAULT_INTEGRATION", help="integration of other providers"),
+    Setting("SPANLAKE_DEFAULT_MODEL", help="model of evaluators without one"),
+    Setting("SPANLAKE_CODE_FOLDER", help="folder that code evaluators are written to"),
+    Setting("SPANLAKE_CREATE_TASKS", bool, False, "make tasks of rules, which cost money"),
     Setting("SPANLAKE_API_KEY", help="key that a sender uses", secret=True),
 )
-SECRET_PARTS = ("KEY", "SECRET", "TOKEN", "PASSWORD", "CREDENTIAL")
 
 
 def is_secret(key: str) -> bool:

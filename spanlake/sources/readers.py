@@ -24,6 +24,20 @@ SCORE = {
     "author": ("string", ("authorUserId", "author")), "at": ("timestamp", ("timestamp", "createdAt", "at")),
     "observation_id": ("string", ("observationId", "observation_id")), "trace_id": ("string", ("traceId", "trace_id")), "session_id": ("string", ("sessionId", "session_id")),
 }
+#: The canonical shape of each kind of resource.
+RESOURCES = {
+    "prompts": {"id": ("string", ("id",)), "name": ("string", ("name",)), "version": ("int", ("version",)), "body": ("string", ("prompt", "body")), "kind": ("string", ("type", "kind")), "config": ("string", ("config",)), "labels": ("array<string>", ("labels",)), "message": ("string", ("commitMessage", "message"))},
+    "dataset_items": {"id": ("string", ("id",)), "dataset": ("string", ("datasetName", "dataset")), "input": ("string", ("input",)), "expected": ("string", ("expectedOutput", "expected")), "metadata": ("string", ("metadata",)), "status": ("string", ("status",))},
+    "score_configs": {"name": ("string", ("name",)), "data_type": ("string", ("dataType", "data_type")), "categories": ("array<struct<label: string, value: double>>", ("categories",)), "low": ("double", ("minValue", "low")), "high": ("double", ("maxValue", "high")), "description": ("string", ("description",))},
+    "evaluators": {
+        "id": ("string", ("id",)), "name": ("string", ("name",)), "type": ("string", ("type",)), "messages": ("array<struct<role: string, content: string>>", ("messages", "prompt")), "provider": ("string", ("provider", "modelProvider")), "model": ("string", ("model",)), "data_type": ("string", ("dataType", "data_type")),
+        "categories": ("array<string>", ("categories",)), "low": ("double", ("minValue", "low")), "high": ("double", ("maxValue", "high")), "value_guidance": ("string", ("scoreGuidance", "value_guidance")), "reason_guidance": ("string", ("reasoningGuidance", "reason_guidance")), "version": ("string", ("version",)),
+        "language": ("string", ("sourceCodeLanguage", "language")), "description": ("string", ("description",)), "code": ("string", ("sourceCode", "code")),
+    },
+    "rules": {"name": ("string", ("name",)), "filter": ("string", ("filter",)), "sampling": ("double", ("sampling",)), "enabled": ("boolean", ("enabled",)), "evaluator_ids": ("array<string>", ("evaluatorIds", "evaluator_ids"))},
+}
+#: Groups of columns that a scan of observations can be asked for.
+FIELD_GROUPS = {"core": ("id", "trace_id", "parent_id", "type", "name", "start_time", "end_time", "completion_start", "level", "status_message", "session_id", "user_id", "tags"), "io": ("input", "output", "metadata"), "model": ("model", "model_parameters", "prompt_name", "prompt_version"), "usage": ("usage_details", "usage", "cost_details")}
 #: Where a page of records may hold its list.
 LISTS = ("data", "items", "observations", "scores", "results")
 
@@ -95,14 +109,17 @@ class Files(Source):
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.format(self.form).load(f"{self.folder}/{name}")
 
-    def observations(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
-        return in_window(canonical(self._read("observations"), OBSERVATION), "start_time", start, end)
+    def observations(self, start: datetime | None = None, end: datetime | None = None, fields: tuple[str, ...] = tuple(FIELD_GROUPS), extra: Column | None = None) -> DataFrame:
+        """Observations that start in a window, with the columns of some field groups, and for which an extra condition holds."""
+        rows = in_window(canonical(self._read("observations"), OBSERVATION), "start_time", start, end)
+        return projected(rows if extra is None else rows.where(extra), fields)
 
     def scores(self, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
         return in_window(flat_subject(canonical(self._read("scores"), SCORE)), "at", start, end)
 
     def resources(self, kind: str) -> DataFrame:
-        return self._read(kind)
+        """Resources of a kind in its canonical shape; kinds without one as they are."""
+        return canonical(self._read(kind), RESOURCES[kind]) if kind in RESOURCES else self._read(kind)
 
 
 _SOURCES: dict[str, Callable[..., Source]] = {"files": Files}
@@ -127,6 +144,12 @@ def in_window(df: DataFrame, time: str, start: datetime | None, end: datetime |
     return df if end is None else df.where(F.col(time) < F.lit(end))
 
 
+def projected(rows: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """The columns of some field groups (core always)."""
+    wanted = {c for group in ("core", *fields) for c in FIELD_GROUPS[group]}
+    return rows.select(*[c for c in rows.columns if c in wanted])
+
+
 def scores_of(scores: DataFrame, keys: DataFrame, kind: str, key: str) -> DataFrame:
     """Scores whose subject of that kind (trace, session) is among keys, whenever they were given."""
     column = "subject_trace" if kind == "trace" else "subject_id"
@@ -136,11 +159,12 @@ def scores_of(scores: DataFrame, keys: DataFrame, kind: str, key: str) -> DataFr
 
 
 def keep_first(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """One row of each key, the first in that order; rows with a null key all stay."""
-    from pyspark.sql import Window
+    """One row of each key, the first in that order; rows with a null key all stay.
 
-    ranked = df.where(F.col(key).isNotNull()).withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rank = 1").drop("_rank")
-    return ranked.unionByName(df.where(F.col(key).isNull()))
+    Tasks keep the first row of each key that they meet, so copies are not gathered to be sorted.
+    """
+    first = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(*order)).alias("_row")).select("_row.*")
+    return first.unionByName(df.where(F.col(key).isNull()))
 
 
 def daily_counts(df: DataFrame, time: str) -> DataFrame:
@@ -148,6 +172,20 @@ def daily_counts(df: DataFrame, time: str) -> DataFrame:
     return df.where(F.col(time).isNotNull()).groupBy(F.to_date(time).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def summed_counts(partial: DataFrame) -> DataFrame:
+    """day, rows from counts of overlapping or cut looks (day, rows): what several looks have of one day is added up."""
+    return partial.groupBy("day").agg(F.sum("rows").cast("long").alias("rows"))
+
+
+def counted_in_chunks(df: DataFrame, time: str, first: date, last: date, days: int = 60) -> DataFrame:
+    """`daily_counts` look by look over ranges of so many days, as a source that limits ranges gives them."""
+    looks = [daily_counts(in_window(df, time, datetime.combine(a, datetime.min.time()), datetime.combine(b, datetime.min.time())), time) for a, b in chunks_of_days(first, last, days)]
+    out = looks[0]
+    for look in looks[1:]:
+        out = out.unionByName(look)
+    return summed_counts(out)
+
+
 def history_range(counts: DataFrame) -> DataFrame:
     """One row: earliest and latest day with rows, how many such days, and all rows. Null days where nothing is found."""
     return counts.where("rows > 0").agg(F.min("day").alias("earliest"), F.max("day").alias("latest"), F.count(F.lit(1)).alias("populated_days"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("total"))

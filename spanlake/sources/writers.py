@@ -38,10 +38,20 @@ def write_days(spans: DataFrame, path: str, overwrite: bool = False, day: str =
     spans.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
+def row_digest(df: DataFrame, *leave: str) -> Column:
+    """60 bits of an MD5 over a row's columns by name; nulls, and where a text ends, count."""
+
+    def shown(c: str) -> Column:
+        value = F.to_json(F.struct(c)) if df.schema[c].dataType.typeName() in ("map", "struct", "array", "variant") else F.col(c).cast("string")
+        return F.when(value.isNull(), "n").otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value))
+
+    text = F.concat_ws(",", *[shown(c) for c in sorted(df.columns) if c not in leave], F.lit(""))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
 def fingerprint(df: DataFrame, *by: str) -> DataFrame:
-    """Rows and a checksum that doesn't depend on their order, for each value of `by`."""
-    plain: list[Column] = [F.to_json(F.struct(c)) if df.schema[c].dataType.typeName() in ("map", "struct", "array", "variant") else F.col(c) for c in sorted(df.columns) if c not in by]
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*plain)).alias("checksum"))
+    """Rows and a checksum that doesn't depend on their order, for each value of `by`: the sum of the rows' digests, so that equal rows count each time."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.sum(row_digest(df, *by)).cast("string").alias("checksum"))
 
 
 def check_fingerprint(df: DataFrame, known: DataFrame, *by: str) -> DataFrame:
@@ -66,8 +76,22 @@ def write_json(path: str, content: object) -> None:
             os.unlink(temp)
 
 
+def write_code_files(exports: DataFrame, folder: str) -> int:
+    """Writes exported code (file, content), a row a code evaluator, as files of the driver; returns how many."""
+    os.makedirs(folder, exist_ok=True)
+    n = 0
+    for row in exports.select("file", "content").toLocalIterator():
+        with open(os.path.join(folder, os.path.basename(row.file)), "w") as out:
+            out.write(row.content)
+        n += 1
+    return n
+
+
 def send(spans: DataFrame, workers: int, sender: Callable[[Iterable], None]) -> None:
-    """Deals spans round to so many tasks and hands each task's rows to the sender (1 to 32 tasks)."""
+    """Deals spans round to so many tasks and hands each task's rows to the sender (1 to 32 tasks), which has sent all when it returns.
+
+    The rows carry their ids, so a task that runs again sends the same spans under the same ids.
+    """
     if not 1 <= workers <= 32:
         raise ValueError("workers must be 1 to 32")
     spans.repartition(workers).foreachPartition(sender)

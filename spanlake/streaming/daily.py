@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spanlake.operators import spans
 
@@ -25,21 +21,10 @@ def once(stream: DataFrame, ident: str = "id", time: str = "start_time", late: s
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([ident])
 
 
-def _anchor(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    best = state.get if state.exists else None
-    before = best
-    for part in parts:
-        for start, trace in zip(part["start_time"], part["trace_id"], strict=True):
-            best = min(best, (start.value, trace)) if best else (start.value, trace)
-    if best != before:
-        state.update(best)
-        yield pd.DataFrame({"session_id": [key[0]], "trace_id": [best[1]]})
-
-
 def first_traces(stream: DataFrame) -> DataFrame:
-    """session_id, trace_id of the trace that starts a session, sent again when an earlier one comes. State is two values a session."""
+    """session_id, trace_id of the trace that starts a session (ties: the least id), for the update mode: sent again when rows of it come. State is two values a session."""
     rows = stream.where("session_id IS NOT NULL AND start_time IS NOT NULL").select("session_id", "trace_id", "start_time")
-    return rows.groupBy("session_id").applyInPandasWithState(_anchor, "session_id string, trace_id string", "start long, trace string", "update", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("session_id").agg(F.min_by("trace_id", F.struct("start_time", "trace_id")).alias("trace_id"))
 
 
 def write_spans(stream: DataFrame, target: str, checkpoint: str, once_only: bool = True) -> StreamingQuery:
