@@ -6,18 +6,21 @@ import base64
 import functools
 import hashlib
 import json
+import os
 from collections.abc import Iterator, Sequence
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from spanlake.llm.frames import read
+from spanlake.llm.textio import places, resident, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words whose ids a task keeps; all are forgotten when there are more.
-KEEP = 400_000
-#: A longer run of one kind is encoded each time, not kept.
+#: Words whose ids a task keeps; with so many new ones, those not met since the last turn are forgotten.
+KEEP = 60_000
+#: A longer run of one kind is encoded anew in each slice, not kept.
 LONGEST = 64
 
 
@@ -55,156 +58,176 @@ def _driver_model(path: str) -> tuple[str, dict[bytes, int]]:
     return tokenizer_json(ranks), ranks
 
 
+class Pieces:
+    """A table of byte strings, to be laid end to end by their numbers."""
+
+    def __init__(self, pieces: Sequence[bytes]):
+        self.data = np.frombuffer(b"".join(pieces), np.uint8)
+        self.sizes = np.array([len(x) for x in pieces], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the pieces, and where each starts, with the end."""
+        sizes = self.sizes[ids]
+        return self.data[places(self.starts[ids], sizes)], np.concatenate(([0], np.cumsum(sizes)))
+
+
 class Codec:
     """Encodes and decodes texts: words by a pattern, bytes by a table, merges by the `tokenizers` library."""
 
     def __init__(self, model: str, pattern: str, keep: int = KEEP):
         import regex
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
         self.words = regex.compile(pattern).findall
-        self.spans = regex.compile(pattern).finditer
-        self.chars = byte_to_char()
-        self.to_byte = {c: b for b, c in enumerate(self.chars)}
-        self.by_latin = {i: c for i, c in enumerate(self.chars)}
-        self.token_bytes = {i: bytes(self.to_byte[c] for c in t) for t, i in self.tokenizer.get_vocab().items()}
-        self.keep, self.known = keep, {}
+        chars = byte_to_char()
+        to_byte = {c: b for b, c in enumerate(chars)}
+        self.by_latin = dict(enumerate(chars))
+        ids = self.tokenizer.get_vocab()
+        known = {i: bytes(to_byte[c] for c in t) for t, i in ids.items()}
+        size = max(known, default=-1) + 1
+        self.token_bytes = Pieces([known.get(i, b"") for i in range(size)])
+        self.decimals = Pieces([b"%d," % i for i in range(size)])
+        self.numbers = list(range(size))  # so that kept ids share them
+        self.keep = keep
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def mapped(self, word: str) -> str:
         """The word's bytes as the characters that stand for them."""
         return word.encode("utf-8").decode("latin-1").translate(self.by_latin)
 
-    def learn(self, words: Sequence[str]) -> dict[str, list[int]]:
-        """The ids of words, each encoded once."""
-        words = list(words)
-        return {w: x.ids for w, x in zip(words, self.tokenizer.encode_batch([self.mapped(w) for w in words], add_special_tokens=False), strict=True)}
-
-    def encode_batch(self, texts: Sequence[str | None]) -> Iterator[tuple[list[str], dict[str, list[int]]]]:
-        """For each text its words, and the ids of each word."""
-        for text in texts:
-            words = self.words(text) if text else []
-            new = {w for w in words if w not in self.known}
-            long = {w for w in new if len(w) > LONGEST}
-            if len(self.known) + len(new) > self.keep:
-                self.known, new = {}, set(words) - long
-            self.known.update(self.learn(new - long))
-            yield words, ({**{w: self.known[w] for w in set(words) - long}, **self.learn(long)} if long else self.known)
+    def lookup(self, words: list[str]) -> list[tuple[int, ...]]:
+        """The ids of each of some distinct words; what is met for the first time is encoded once."""
+        new = [w for w in words if w not in self.known]
+        kept = {w: self.older[w] for w in new if w in self.older}
+        new = [w for w in new if w not in kept]
+        made = self.tokenizer.encode_batch_fast([self.mapped(w) for w in new], add_special_tokens=False)
+        self.known.update(kept)
+        self.known.update((w, tuple(map(self.numbers.__getitem__, x.ids))) for w, x in zip(new, made, strict=True))
+        out = [self.known[w] for w in words]
+        for w in new:
+            if len(w) > LONGEST:
+                del self.known[w]
+        if len(self.known) > self.keep:
+            self.older, self.known = self.known, {}
+        return out
+
+    def encode_batch(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where those of each start, with the end."""
+        found = [self.words(t) if t else [] for t in texts]
+        coded = pa.array(list(chain.from_iterable(found)), pa.large_string()).dictionary_encode()
+        lists = self.lookup(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        starts, sizes = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        first = np.cumsum([0, *map(len, found)])
+        return flat[places(starts, sizes)], np.concatenate(([0], np.cumsum(sizes)))[first]
 
     def encode(self, text: str | None) -> list[int]:
-        words, ids = next(self.encode_batch([text]))
-        return [i for w in words for i in ids[w]]
+        return self.encode_batch([text])[0].tolist()
+
+    def offsets_batch(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each token the code points of its text that it touches, start and end: a character cut between tokens belongs to each."""
+        data, at = self.token_bytes.joined(ids)
+        points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))  # begun before each byte
+        base = np.repeat(points[at[first[:-1]]], np.diff(first))
+        return points[at[:-1] + 1] - 1 - base, points[at[1:]] - base
 
     def offsets(self, text: str | None) -> list[tuple[int, int]]:
-        """For each token, the code points it touches: a character cut between tokens belongs to each of them."""
-        out = []
-        for m in self.spans(text or ""):
-            owner = [m.start() + k for k, c in enumerate(m[0]) for _ in c.encode("utf-8")]
-            at = 0
-            for i in self.learn([m[0]])[m[0]]:
-                size = len(self.token_bytes[i])
-                out.append((owner[at], owner[at + size - 1] + 1))
-                at += size
-        return out
+        ids, first = self.encode_batch([text])
+        return list(zip(*(x.tolist() for x in self.offsets_batch(ids, first)), strict=True))
 
     def decode(self, ids: Sequence[int]) -> bytes:
         """The bytes of the ids; characters that tokens split are whole again."""
-        return b"".join([self.token_bytes[i] for i in ids])
+        return self.token_bytes.joined(np.asarray(ids, np.int64))[0].tobytes()
+
 
+def _codec(model: str, pattern: str) -> Codec:
+    return resident(f"codec {hashlib.sha256((pattern + model).encode()).hexdigest()}", lambda: Codec(model, pattern))
 
-_codecs: dict[str, Codec] = {}
 
+def _bounds(first: np.ndarray) -> pa.Array:
+    return pa.array(first, pa.int32())
 
-def _codec(model: str, pattern: str) -> Codec:
-    key = hashlib.sha256((pattern + model).encode()).hexdigest()
-    if key not in _codecs:
-        _codecs[key] = Codec(model, pattern)
-    return _codecs[key]
+
+def _pass(docs: DataFrame, made: Sequence[str]) -> tuple[DataFrame, list[str], str]:
+    """docs without columns of the names that are made, those left, and their schema."""
+    keep = [c for c in docs.columns if c.lower() not in {m.lower() for m in made}]
+    slim = docs.select(*keep)
+    return slim, keep, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in slim.schema.fields)
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", offsets: str | None = None) -> DataFrame:
     """Adds the token ids of each whole text as an array of int (null or empty text: empty array).
 
+    With `offsets`, a column of that name has for each token the code points that it touches, start and end (exclusive).
     `vocabulary` is a path the driver can read; the model (as large as the vocabulary, whatever the
-    data) goes to the tasks as a broadcast variable. All rows and other columns stay; a column named
-    `ids` is replaced.
+    data) goes to the tasks as a broadcast variable. All rows, repeated ones too, and other columns stay; columns of
+    the names added are replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(_driver_model(vocabulary)[0])
-    keep = [c for c in docs.columns if c.lower() != ids.lower()]
+    made = [ids, *([offsets] if offsets else [])]
+    slim, keep, schema = _pass(docs, made)
     at = [c.lower() for c in keep].index(text.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value, pattern)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                out = [[i for w in words for i in table[w]] for words, table in codec.encode_batch(part.column(at).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.list_(pa.int32()))], names=[*keep, ids])
+            for part in slices(batch, keep[at]):
+                flat, first = codec.encode_batch(part.column(at).to_pylist())
+                lists = [pa.ListArray.from_arrays(_bounds(first), pa.array(flat))]
+                if offsets:
+                    both = [pa.array(x.astype(np.int32)) for x in codec.offsets_batch(flat, first)]
+                    lists.append(pa.ListArray.from_arrays(_bounds(first), pa.StructArray.from_arrays(both, ["start", "end"])))
+                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*keep, *made])
 
-    slim = docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields)
-    return slim.mapInArrow(run, f"{schema}, `{ids}` array<int>")
+    return slim.mapInArrow(run, f"{schema}`{ids}` array<int>" + (f", `{offsets}` array<struct<start: int, end: int>>" if offsets else ""))
 
 
 def decode(rows: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the bytes of each row's ids as a binary column (null ids: null). A column named `out` is replaced."""
     model = rows.sparkSession.sparkContext.broadcast(_driver_model(vocabulary)[0])
-    keep = [c for c in rows.columns if c.lower() != out.lower()]
+    slim, keep, schema = _pass(rows, [out])
     at = [c.lower() for c in keep].index(ids.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value, pattern)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
+            for part in (batch.slice(a, 100) for a in range(0, batch.num_rows, 100)):
                 found = [None if x is None else codec.decode(x) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*keep, out])
 
-    slim = rows.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields)
-    return slim.mapInArrow(run, f"{schema}, `{out}` binary")
+    return slim.mapInArrow(run, f"{schema}`{out}` binary")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """All columns, with n_tokens, ids_sha256 and decoded_sha256 of each whole text (null: empty).
+    """All rows and columns, with n_tokens, ids_sha256 and decoded_sha256 of each whole text (null: empty).
 
     The ids themselves leave the task only with keep_ids, as an array column `ids`. Columns of these names are replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(_driver_model(vocabulary)[0])
     made = ("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else []))
-    keep = [c for c in docs.columns if c.lower() not in made]
+    slim, keep, schema = _pass(docs, made)
     at = [c.lower() for c in keep].index(text.lower())
+    digests = lambda data, cuts, less: pa.array([hashlib.sha256(data[a : max(a, b - less)]).hexdigest() for a, b in pairwise(cuts.tolist())], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model.value, pattern)
-        shown = {}
         for batch in batches:
-            counts, ids_sha, bytes_sha, all_ids = [], [], [], []
-            for words, table in codec.encode_batch(batch.column(at).to_pylist()):
-                if table is not codec.known:
-                    ids = [i for w in words for i in table[w]]
-                    n, text_ids, decoded = len(ids), ",".join(map(str, ids)), codec.decode(ids)
-                else:
-                    if len(shown) > codec.keep:
-                        shown = {}
-                    found = []
-                    for w in words:
-                        x = shown.get(w)
-                        if x is None:
-                            x = shown[w] = (len(table[w]), ",".join(map(str, table[w])), codec.decode(table[w]))
-                        found.append(x)
-                    n, text_ids, decoded = sum([x[0] for x in found]), ",".join([x[1] for x in found]), b"".join([x[2] for x in found])
-                counts.append(n)
-                if keep_ids:
-                    all_ids.append(np.fromiter((i for w in words for i in table[w]), np.int32, n))
-                ids_sha.append(hashlib.sha256(text_ids.encode()).hexdigest())
-                bytes_sha.append(hashlib.sha256(decoded).hexdigest())
-            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *all_ids])))] if keep_ids else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(bytes_sha, pa.string()), *lists], names=[*keep, *made])
+            for part in slices(batch, keep[at]):
+                flat, first = codec.encode_batch(part.column(at).to_pylist())
+                shown, ends = codec.decimals.joined(flat)
+                decoded, cuts = codec.token_bytes.joined(flat)
+                lists = [pa.ListArray.from_arrays(_bounds(first), pa.array(flat))] if keep_ids else []
+                columns = [pa.array(np.diff(first), pa.int64()), digests(shown, ends[first], 1), digests(decoded, cuts[first], 0)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns, *lists], names=[*keep, *made])
 
-    slim = docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields)
-    return slim.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else ""))
+    return slim.mapInArrow(run, f"{schema}n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else ""))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,4 +237,4 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-__all__ = ["Codec", "byte_to_char", "decode", "encode", "op7_byte_bpe", "read_ranks", "round_trip", "tokenizer_json"]
+__all__ = ["Codec", "Pieces", "byte_to_char", "decode", "encode", "op7_byte_bpe", "read_ranks", "round_trip", "tokenizer_json"]

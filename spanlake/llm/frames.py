@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,18 +44,48 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table(df: DataFrame) -> DataFrame:
-    """The rows of a table of ids or links as Parquet in the shared checkpoint folder, for loops.
+_scopes: list[dict[str, str]] = []
 
-    Unlike a checkpoint, what is read back has the size that it has: loops of joins would otherwise multiply estimated
-    sizes without end. A table of up to BROADCAST_ROWS rows, of a few ids each, is marked for broadcast joins; a larger
-    one isn't.
-    """
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as Parquet in the shared checkpoint folder, read back: unlike a checkpoint it has the size that it has, and columns can be pruned."""
     spark = df.sparkSession
     path = f"{_shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    return F.broadcast(out) if out.count() <= BROADCAST_ROWS else out
+    if _scopes:
+        _scopes[-1][path] = path
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def table(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`stored` for tables of ids or links, for loops of joins, which would otherwise multiply estimated sizes without end.
+
+    A table of up to `rows` rows, of a few ids each, is marked for broadcast joins; a larger one isn't.
+    """
+    out = stored(df)
+    return F.broadcast(out) if out.count() <= rows else out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stored within are deleted at the end, but for those that a frame given to the yielded function reads."""
+    own: dict[str, str] = {}
+    _scopes.append(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        for file in df.inputFiles():
+            name = next((x for x in file.split("/") if x.startswith("table-")), None)
+            for path in [p for p in own if name and p.endswith(name)]:
+                del own[path]
+        return df
+
+    try:
+        yield keep
+    finally:
+        _scopes.pop()
+        for path in own:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_or_empty(column: str) -> Column:
@@ -77,4 +109,4 @@ def with_text_key(df: DataFrame, name: str, *columns: str) -> DataFrame:
     return df.withColumn(name, F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
 
 
-__all__ = ["bound_batches", "cut", "fresh", "read", "table", "text_or_empty", "with_text_key"]
+__all__ = ["bound_batches", "cut", "fresh", "read", "scratch", "stored", "table", "text_or_empty", "with_text_key"]

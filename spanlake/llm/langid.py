@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm.frames import fresh, read
-from spanlake.llm.textio import mix
+from spanlake.llm.textio import mix, resident
 
 #: Length of the vectors, letters in an n-gram, and most n-gram vectors that a task keeps.
 DIM, N, KEEP = 1024, 3, 40_000
-#: Most languages a model may have: it bounds the prototypes, DIM numbers a language.
-MAX_LANGS = 500
+#: N-gram vectors that are bundled at once.
+STEP = 4096
+#: Most languages a model has, those with the most labelled texts: it bounds the prototypes, DIM numbers a language.
+MAX_LANGS = 2000
 UNKNOWN = "und"
 _BITS = 21  # a code point
 _CLASS = np.zeros(0x110000, np.uint32)
@@ -95,28 +97,27 @@ class GramVectors:
         keys, column = np.unique(np.concatenate([k for k, _ in grams]), return_inverse=True)
         row = np.repeat(np.arange(len(grams)), [len(k) for k, _ in grams])
         counts = np.concatenate([c for _, c in grams])
-        step = self.keep // 2  # texts of many scripts can have more n-grams than the table keeps
-        for a in range(0, len(keys), step):
-            here = (column >= a) & (column < a + step) if len(keys) > step else slice(None)
-            dense = np.zeros((len(grams), min(step, len(keys) - a)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column, counts = row[order], column[order], counts[order]
+        for a in range(0, len(keys), STEP):
+            here = slice(*np.searchsorted(column, (a, a + STEP)))
+            dense = np.zeros((len(grams), min(STEP, len(keys) - a)), np.float32)
             dense[row[here], column[here] - a] = counts[here]
-            out += dense @ self.of(keys[a : a + step])
+            out += dense @ self.of(keys[a : a + STEP])
         return out
 
 
-_vectors: dict[tuple[int, int], GramVectors] = {}
-
-
 def _shared(dim: int, n: int) -> GramVectors:
-    return _vectors.setdefault((dim, n), GramVectors(dim, n))
+    return resident(f"gram vectors {dim} {n}", lambda: GramVectors(dim, n))
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM, n: int = N) -> dict[str, np.ndarray]:
     """The prototype of each language: the bundle of all n-grams of its labelled texts, over all rows given.
 
     Rows without a language or letters are left out. Each task sums its rows; what meets is `dim` sums a
-    language and task, added up by Spark, and the driver gets the few prototypes. More than MAX_LANGS languages
-    are refused.
+    language and task, added up by Spark, and the driver gets the few prototypes. Of more than MAX_LANGS languages
+    those with the most texts are learned (ties: by name); texts of others get one of these. Repeated rows count each time,
+    whatever their labels.
     """
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,12 +143,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", dim: int =
             yield pa.RecordBatch.from_pydict({"lang": [lang_] * dim, "i": pa.array(range(dim), pa.int32()), "v": v})
 
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    names = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS + 1).collect()
+    if len(names) > MAX_LANGS:
+        rows = rows.where(F.col("lang").isin([r.lang for r in names[:MAX_LANGS]]))
     summed = rows.mapInArrow(sums, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
     out: dict[str, np.ndarray] = {}
-    for r in summed.limit(MAX_LANGS * dim + 1).toLocalIterator():
+    for r in summed.toLocalIterator():
         out.setdefault(r.lang, np.zeros(dim))[r.i] = r.v
-        if len(out) > MAX_LANGS:
-            raise ValueError(f"more than {MAX_LANGS} languages")
     return {k: out[k] / max(np.linalg.norm(out[k]), 1e-9) for k in sorted(out)}
 
 

@@ -7,12 +7,14 @@ ASCII, so the ASCII word rules of the operators hold bytewise.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+T = TypeVar("T")
 #: Bytes of text that are looked at together; a longer text is one slice of its own.
 SLICE_BYTES = 1 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -63,6 +65,26 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+_resident: dict[str, object] = {}
+
+
+def resident(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task: the tables of one operator. Those of another go when they come.
+
+    Spark uses workers again for other operators and later jobs, where tables that all stay would add up.
+    """
+    if name not in _resident:
+        _resident.clear()
+        _resident[name] = make()
+    return _resident[name]
+
+
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `limit` bytes of text each."""
     if not batch.num_rows:
