@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm.components import extend
-from spanlake.llm.frames import cut, read, table
+from spanlake.llm.frames import cut, read, scratch, stored, table
 from spanlake.llm.textio import NOT_SPACE, buffers, grams, mix, runs, signed, slices, word_hashes
 
 #: Words in a shingle, and the least similarity of a link in hundredths.
@@ -24,6 +24,8 @@ BANDS, ROWS = 36, 7
 NARROW_BANDS, NARROW_ROWS = 420, 21
 #: Rounds that try one partner a bucket before all pairs between the groups that are left are tried.
 ROUNDS = 6
+#: Documents of a task that makes narrow bands, and elements of sets that a task keeps while it compares.
+NARROW_DOCS, KEPT_ELEMENTS = 200, 2_000_000
 #: Chances that all bands of a kind miss a pair at the threshold, from which other thresholds get their number of bands.
 MISS, NARROW_MISS = 1e-6, 8e-7
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -148,6 +150,7 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
     codec = pa.Codec("zstd", 1)
     for batch in batches:
         known: dict[tuple[int, int, int], np.ndarray] = {}
+        held = 0
         cols = {c: batch.column(c).to_pylist() for c in ("a", "b", "a_size", "b_size")}
         links, distances = [], []
         for i in range(batch.num_rows):
@@ -156,10 +159,11 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
                 blob = batch.column(f"{side}_blob")[i].as_buffer()
                 key = (cols[side][i], blob.size, hash(bytes(blob)))
                 if key not in known:
-                    if len(known) > 2000:
-                        known.clear()
                     text = codec.decompress(blob, cols[f"{side}_size"][i], asbytes=True)
-                    known[key] = shingle_sets(pa.array([text.decode()], pa.large_string()))[0]
+                    made = shingle_sets(pa.array([text.decode()], pa.large_string()))[0]
+                    if held + len(made) > KEPT_ELEMENTS:
+                        known, held = {}, 0
+                    known[key], held = made, held + len(made)
                 pair.append(known[key])
             both = len(np.intersect1d(*pair, assume_unique=True))
             union = len(pair[0]) + len(pair[1]) - both
@@ -176,6 +180,13 @@ def _with(run: Callable, what: object) -> Callable[[Iterator[pa.RecordBatch]], I
     return lambda batches: run(batches, what)
 
 
+def _once(blobs: DataFrame) -> DataFrame:
+    """A written table of texts (doc_id, mark, size, blob, row) with one row of those that share doc_id and mark, found by ids alone."""
+    several = blobs.groupBy("doc_id", "mark").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    extra = table(blobs.select("doc_id", "mark", "row").join(several.drop("c"), ["doc_id", "mark"]).where("row <> first").select("row"))
+    return (blobs if extra.isEmpty() else blobs.join(extra, "row", "left_anti")).select("doc_id", "size", "blob")
+
+
 class _Search:
     """Buckets of classes of equal sets, and the groups found so far."""
 
@@ -184,15 +195,16 @@ class _Search:
         rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         self.rows = cut(rows.mapInArrow(_with(_sketched, of), "doc_id long, n long, p long, q long, bands array<long>"))
         known = self.rows.where("n > 0 AND doc_id IS NOT NULL")
-        self.classes = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"))
         tops = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        copies = known.groupBy("p", "q").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("c")).where("c > 1")
+        self.classes = table(copies.drop("c"))  # a document without copies is its own class and isn't looked up
         members = tops.select(F.explode("bands").alias("key"), "node", "n")
         shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
         self.members = table(members.join(shared, "key", "left_semi"))
         texts = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text").where("doc_id IS NOT NULL")
         blobs = texts.mapInArrow(_packed, "doc_id long, mark long, size long, blob binary")
-        wanted = self.members.select(F.col("node").alias("doc_id")).distinct()
-        self.blobs = cut(blobs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "mark"]).drop("mark"))
+        wanted = table(self.members.select(F.col("node").alias("doc_id")).distinct())
+        self.blobs = _once(stored(blobs.join(wanted, "doc_id", "left_semi").withColumn("row", F.monotonically_increasing_id())))
         self.tested = None
         self.roots = None
         self.anchors = None
@@ -221,16 +233,18 @@ class _Search:
 
     def narrow(self) -> None:
         """Puts the members that are left into the buckets of narrow bands."""
-        left = self.members.select("node").distinct()
+        left = table(self.members.select("node").distinct())
         texts = self.blobs.withColumnRenamed("doc_id", "node").join(left, "node", "left_semi")
-        bands = texts.repartition(F.col("node")).mapInArrow(_with(_narrowed, self.of), "node long, n long, bands array<long>")
+        tasks = math.ceil(left.count() / NARROW_DOCS) or 1  # by number: few bytes take long here
+        bands = texts.repartition(tasks, "node").mapInArrow(_with(_narrowed, self.of), "node long, n long, bands array<long>")
         self.members = cut(bands).select(F.explode("bands").alias("key"), "node", "n")
 
     def open(self) -> DataFrame:
-        """Members of buckets that still hold several groups, with their group."""
+        """Members of buckets that still hold several groups, with their group. Of buckets with the same members one is kept: all give the same pairs."""
         m = self.members.join(self.roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        several = m.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-        several = table(several)
+        prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"print{i}") for i in range(2)]
+        several = m.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("c"), *prints).where("x < y")
+        several = table(several.groupBy("c", "print0", "print1").agg(F.min("key").alias("key")).select("key"))
         self.members = table(m.join(several, "key", "left_semi")).drop("root")  # buckets of one group are done
         held = self.members.join(self.roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
         return held.join(self.anchors, "node", "left")
@@ -243,13 +257,13 @@ def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Each member with each p of its bucket that could be a link to another group, the greater node first.
 
     Sizes must fit; and as the Jaccard distance is a metric, two members whose distances from one anchor
-    differ by more than a link's distance are no link.
+    differ by more than a link's distance are no link. With a column keys, all keys of a member, a pair counts once.
     """
     fit = (F.col("node") != F.col("p.node")) & _sizes_fit(F.col("n"), F.col("p.n"), percent)
     if "root" in members.columns:
         apart = (F.col("anchor") == F.col("p.anchor")) & (F.abs(F.col("distance") - F.col("p.distance")) > 1 - percent / 100 + 1e-9)
         fit = fit & (F.col("root") != F.col("p.root")) & ~F.coalesce(apart, F.lit(False))
-    if "keys" in members.columns:  # a pair counts in the first bucket that it shares
+    if "keys" in members.columns:  # in the first bucket that it shares
         fit = fit & (F.array_min(F.array_intersect("keys", "p.keys")) == F.col("key"))
     joined = members.join(pivots, "key").where(fit)
     hi = F.col("node") > F.col("p.node")
@@ -269,9 +283,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     are left. A pair within a group can change nothing, so no link that matters is left out.
 
     A text without words, an empty one or null has n_shingles 0 and stays alone. Rows with one doc_id are
-    one document for links; a null doc_id links to nothing and is kept. Columns other than the two are not read.
+    one document for links; a null doc_id links to nothing and is kept. Ids are cast to long, so others than numbers are an
+    error. Columns other than the two are not read. Tables that the search has written are deleted when it ends, but for
+    the two that the result reads.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with scratch(docs.sparkSession) as keep:
+        return keep(_grouped(docs, percent))
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     search = _Search(docs, bands_for(percent))
     pivots = search.members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"))
     starry = _pairs(search.members, pivots, percent).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
@@ -285,7 +306,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         strays = left.join(per.select("key", F.col("main.root").alias("main")), "key").where("root <> main")
         if turn > 0 and (turn == ROUNDS or not moved or todo.pairs <= 16 * todo.n):
-            keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))  # whole keys, narrow bands at most
+            keys = left.groupBy("node").agg(F.collect_set("key").alias("keys"))  # whole keys, of buckets that are left
             search.add(_pairs(strays.join(keys, "node"), left.join(keys, "node").select("key", F.struct(*MEMBER, "keys").alias("p")), percent))
             break
         random = F.xxhash64("node", "key", F.lit(turn))
@@ -294,8 +315,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         if turn == 0:
             search.open()  # drops the buckets that are done now
             search.narrow()
-    out = search.rows.drop("bands").join(search.classes, ["p", "q"], "left").join(search.roots, "node", "left")
     known = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    out = search.rows.drop("bands").join(search.classes, ["p", "q"], "left").withColumn("node", F.coalesce("node", "doc_id")).join(search.roots, "node", "left")
     root = F.when(known, F.coalesce("root", "node")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"), F.col("doc_id").eqNullSafe(root).alias("kept"))
 
