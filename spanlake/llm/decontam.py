@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlake.llm.frames import fresh, read
+from spanlake.llm.frames import fresh, read, table
 from spanlake.llm.textio import LOWER, WORD_CHARS, buffers, grams, room, rows_of, runs, signed, slices, word_hashes
 
 #: Words in a window of an item, and words in a shingle.
 WINDOW, SHINGLE = 10, 3
 #: Bits of the sieve that keeps most other shingles from the join: a fixed size, whatever the data.
 SIEVE_BITS = 1 << 24
+#: Hit texts up to which their results, a digest and some item ids each, are broadcast to the documents.
+RESULT_ROWS = 20_000
 
 
 def _words(batch: pa.RecordBatch, column: str):
@@ -144,7 +146,7 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     spans = hits.select("doc", "a", (F.col("a") + F.col("n")).alias("b")).groupBy("doc", "a").agg(F.max("b").alias("b"))
     reach = F.max("b").over(Window.partitionBy("doc").orderBy("a").rowsBetween(Window.unboundedPreceding, -1))
     covered = spans.withColumn("c", F.greatest(F.col("b") - F.greatest(F.col("a"), F.coalesce(reach, F.lit(0).cast("long"))), F.lit(0).cast("long"))).groupBy("doc").agg(F.sum("c").alias("hit"))
-    result = covered.join(per_item, "doc", "left").withColumnRenamed("doc", key)
+    result = table(covered.join(per_item, "doc", "left").withColumnRenamed("doc", key), RESULT_ROWS)  # so that copies of one text are joined, not grouped
 
     keep = [c for c in docs.columns if c.lower() not in made]
     total = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != "")).cast("long")
