@@ -6,11 +6,12 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm.frames import fresh, read
+from spanlake.llm.frames import cut, fresh, read, table
 from spanlake.llm.textio import NOT_SPACE, buffers, byte_table, grams, room, rows_of, runs, slices, word_hashes
 
 MIN_WORDS, MAX_REPEAT, REPEAT_WINDOW = 20, 30, 8
@@ -20,8 +21,6 @@ ALPHA, DELTA = 0.01, 0.05
 UNION_SHARE = 0.8
 #: Cutoffs tried for each rule, at even steps of the range 0 to 1 that every rate has.
 STEPS = 40
-#: Strata with rules of their own; others, and rows of null, share the rules of the rest. It bounds the rules.
-MAX_STRATA = 200
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOLS = byte_table(b"#*$%&|<>")
 
@@ -146,62 +145,70 @@ def _lowest(lost: Sequence[int], n: int, most: float, chance: float) -> float:
     return step / len(lost)
 
 
-def fit(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA, steps: int = STEPS) -> dict[str, dict[str, float]]:
-    """Cutoffs by stratum and rule from all labelled documents; a stratum without a safe cutoff has an empty entry.
+def fit(measured: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA, steps: int = STEPS) -> DataFrame:
+    """stratum, cutoffs: the safe cutoffs of each stratum by rule (a map, empty if there are none), from all labelled documents.
 
-    Counts of good documents (quality 1) by stratum, rule and step meet on the driver: MAX_STRATA x rules x
-    steps numbers at most. Strata beyond the MAX_STRATA with the most good documents, and null, are taken
-    together as ''. Labels that contradict each other, are null or lack a document say nothing.
+    The labelled documents are the holdout: rules, their order and the steps are fixed beforehand, so labels only test
+    cutoffs. Good documents (quality 1) are counted by stratum, rule and step; a stratum is chosen for in a task, from
+    rules x steps numbers. Rows of null are the stratum ''. Labels that contradict each other, are null or lack a document
+    say nothing.
     """
     good = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.min("quality").alias("q")).where("q = 1").select("_id")
     rates = [F.expr(e).alias(r) for r, e in RULES.items()]
     rates.append(F.greatest(*[F.expr(e) for e in RULES.values()]).alias(_ANY))
     held = measured.join(good, F.col(doc_id) == F.col("_id"), "left_semi").select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("s"), *rates)
-    sizes = {r.s: r.n for r in held.groupBy("s").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "s").limit(MAX_STRATA).collect()}
-    names = sorted(sizes)
-    held = held.withColumn("s", F.when(F.col("s").isin(names), F.col("s")).otherwise(F.lit("")))
-    long = held.select("s", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * steps).cast("int").alias("bin")) for r in (*RULES, _ANY)])).alias("x")).groupBy("s", "x.rule", "x.bin").agg(F.count(F.lit(1)).alias("n"))
-    bins = {(r.s, r.rule, r.bin): r.n for r in long.collect()}  # strata x rules x steps
-    goods: dict[str, int] = {}
-    counts: dict[tuple[str, str, int], int] = {}
-    for (s, rule, b), n in bins.items():
-        if rule == _ANY:
-            goods[s] = goods.get(s, 0) + n
-        for step in range(min(b, steps)):  # a rate in bin b is above every step below b
-            counts[s, rule, step] = counts.get((s, rule, step), 0) + n
-    union = {(s, step): n for (s, rule, step), n in counts.items() if rule == _ANY}
-    chosen = choose(counts, goods, list(RULES), alpha, delta, steps, union)
-    return {s: chosen.get(s, {}) for s in goods}
-
-
-def judge(measured: DataFrame, cutoffs: dict[str, dict[str, float]], stratum: str = "lang") -> DataFrame:
-    """Adds base_failed, rejected_by (names of rules, array) and kept. A stratum that wasn't fitted has those of '', if any; one without a safe cutoff none."""
-    name = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
-    own = F.when(name.isin(list(cutoffs)), name).otherwise(F.lit("")) if cutoffs else F.lit("")
-    tests = []
-    for rule, rate in RULES.items():
-        known = {s: c[rule] for s, c in cutoffs.items() if rule in c}
-        if known:
-            cutoff = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])[own]
-            tests.append(F.when(F.expr(rate) > cutoff, F.lit(rule)))
-    rejected = F.filter(F.array(*tests), lambda x: x.isNotNull()) if tests else F.array().cast("array<string>")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
+    bins = F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * steps).cast("int").alias("bin")) for r in (*RULES, _ANY)])
+    counted = cut(held.select("s", F.explode(bins).alias("x")).groupBy("s", "x.rule", "x.bin").agg(F.count(F.lit(1)).alias("n")))
+    strata = counted.select("s").distinct().count()
+
+    def choose_one(group: pd.DataFrame) -> pd.DataFrame:
+        own = group["s"].iloc[0]
+        counts, union = {}, {}
+        for rule, b, n in zip(group["rule"], group["bin"], group["n"], strict=True):
+            for step in range(min(b, steps)):  # a rate in bin b is above every step below b
+                if rule == _ANY:
+                    union[own, step] = union.get((own, step), 0) + n
+                else:
+                    counts[own, rule, step] = counts.get((own, rule, step), 0) + n
+        goods = {own: int(group.loc[group["rule"] == _ANY, "n"].sum())}
+        chosen = choose(counts, goods, list(RULES), alpha, delta / strata, steps, union).get(own)
+        return pd.DataFrame([(own, chosen or {})], columns=["stratum", "cutoffs"], dtype=object)
+
+    return counted.groupBy("s").applyInPandas(choose_one, "stratum string, cutoffs map<string, double>")
+
+
+def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
+    """Adds base_failed, rejected_by (names of rules, array) and kept. Columns of these names are replaced.
+
+    A stratum that wasn't fitted has the cutoffs of '', if any; one that was and has no safe cutoff has no rules.
+    """
     keep = [c for c in measured.columns if c.lower() not in ("base_failed", "rejected_by", "kept")]
-    return measured.select(*keep, failed.alias("base_failed"), rejected.alias("rejected_by"), (~failed & (F.size(rejected) == 0)).alias("kept"))
+    name, own, rest, others = fresh(measured, "stratum", "cutoffs", "rest", "others")
+    known = cutoffs.select(F.col("stratum").alias(name), F.col("cutoffs").alias(own))
+    spare = F.broadcast(cutoffs.where("stratum = ''").select(F.col("stratum").alias(rest), F.col("cutoffs").alias(others)))  # one row at most
+    joined = measured.withColumns({name: F.coalesce(F.col(stratum).cast("string"), F.lit("")), rest: F.lit("")}).join(known, name, "left").join(spare, rest, "left")
+    limits = F.coalesce(own, others)
+    tests = [F.when(F.expr(rate) > F.try_element_at(limits, F.lit(rule)), F.lit(rule)) for rule, rate in RULES.items()]
+    rejected = F.filter(F.array(*tests), lambda x: x.isNotNull())
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
+    return joined.select(*keep, failed.alias("base_failed"), rejected.alias("rejected_by"), (~failed & (F.size(rejected) == 0)).alias("kept"))
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", text: str = "text", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """All rows with their counts, base_failed, rejected_by and kept.
+def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", text: str = "text", alpha: float = ALPHA, delta: float = DELTA, with_text: bool = True) -> DataFrame:
+    """All rows with their counts, base_failed, rejected_by and kept; without the text column if with_text is false.
 
-    Null and empty texts have no words and fail the base rule. Without labels no cutoff is safe and only
-    the base rule rejects. Cutoffs are fitted on the labelled rows alone, read by a join.
+    Null and empty texts have no words and fail the base rule. Without labels no cutoff is safe and only the base rule
+    rejects. Repeated rows get equal verdicts. Texts are measured once and the counts written, unless texts are to be
+    returned beside them: those are then measured again, not written. Cutoffs are a small table by stratum, which `table`
+    marks for a broadcast join up to its bound.
     """
-    measured = measure(docs, text)
-    slim = measure(docs.select(doc_id, stratum, text), text).drop(text)  # counts are joined with labels, not texts
-    return judge(measured, fit(slim, labels, stratum, doc_id, alpha, delta), stratum)
+    slim = docs.select(*([doc_id, stratum] if with_text else [c for c in docs.columns if c != text]), text)
+    counts = cut(measure(slim, text).drop(text))
+    cutoffs = table(fit(counts, labels, stratum, doc_id, alpha, delta))
+    return judge(measure(docs, text) if with_text else counts, cutoffs, stratum)
 
 
 def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    out = apply_rules(docs, read(spark, sf_dir, "labels"))
+    out = apply_rules(docs, read(spark, sf_dir, "labels"), with_text=False)
     return out.select("doc_id", *COUNTS, "base_failed", "kept", "rejected_by")
