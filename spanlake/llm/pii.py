@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import functools
+import hashlib
+import os
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,11 +18,17 @@ from spanlake.llm.bilstm import PAD, BiLstmCrf, codes
 from spanlake.llm.frames import fresh, read
 from spanlake.llm.textio import buffers, byte_table, slices
 
+#: Kinds with a fixed pattern, and those that the model knows: secrets (keys, tokens, passwords) have no pattern.
 KINDS = ("email", "ip", "card", "phone")
+MODEL_KINDS = (*KINDS, "secret")
 #: Code points in a window, and from one window to the next.
 WINDOW, STRIDE = 128, 64
-#: Labelled windows made for training, and passes over them.
-EXAMPLES, PASSES = 6000, 4
+#: Labelled windows made for training, passes over them, and hidden units a direction.
+EXAMPLES, PASSES, HIDDEN = 10_000, 5, 20
+#: The weights that `python -m spanlake.llm.pii` has trained and written; they are used only if they are of the settings here.
+WEIGHTS = os.path.join(os.path.dirname(__file__), "pii_weights.npz")
+#: Least length of a secret.
+SECRET_CHARS = 8
 _HINTS = byte_table(b"0123456789@")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -88,7 +97,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 def admissible(kind: str, text: str) -> bool:
-    """What a span of the model must be: of its kind's form. Every kind needs a digit or an @."""
+    """Whether a span of the model can be of its kind: addresses, check digits and lengths must be right, and every kind needs a digit or an @.
+
+    A secret needs SECRET_CHARS characters in one word and a digit; what is one the model alone decides.
+    """
+    if kind == "secret":
+        return len(text) >= SECRET_CHARS and not re.search(r"\s", text) and bool(re.search("[0-9]", text))
     if kind == "email":
         name, at, domain = text.partition("@")
         return bool(at and name and "." in domain.strip(".") and "@" not in domain and not re.search(r"\s", text))
@@ -97,8 +111,8 @@ def admissible(kind: str, text: str) -> bool:
     return {"ip": is_ip, "card": is_card, "phone": is_phone}[kind](text)
 
 
-def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[str, list[Span]]]:
-    """Made-up texts of one window with labelled spans: each kind in several forms among words, and what is none of them."""
+def examples(n: int = EXAMPLES, seed: int = 3, kinds: Sequence[str] = KINDS) -> list[tuple[str, list[Span]]]:
+    """Made-up texts of one window with labelled spans of some kinds: each in several forms among words, and what is none of them."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[rng.integers(len(xs))]
     digits = lambda k: "".join(str(d) for d in rng.integers(0, 10, k))
@@ -120,10 +134,25 @@ def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[str, list[Span]]]:
         name = plain(rng.integers(2, 9)) + pick(["", digits(rng.integers(1, 6)), "." + plain(5), "_" + plain(4), "+" + plain(3)])
         return f"{name}@{pick(['mail', plain(5), plain(8)])}{pick(['', number(9)])}.{pick(['example.', '', plain(4) + '-' + plain(3) + '.'])}{pick(['com', 'org', 'net', 'de', 'co.uk', 'fr'])}"
 
-    makers = {"email": email, "ip": lambda: ".".join(number(256) for _ in range(4)), "card": card, "phone": phone}
     hexed = lambda k: "".join(pick("0123456789abcdef") for _ in range(k))
+    mixed = lambda k: "".join(pick("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(k))
+
+    def secret() -> tuple[str, str, str]:
+        """What stands before a secret, the secret, and what stands after it."""
+        free = rng.random()
+        if free < 0.15:
+            return "", "AKIA" + "".join(pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), ""
+        if free < 0.25:
+            return pick(["", "Bearer "]), pick(["sk-", "ghp_", "pk_live_", "xoxb-"]) + mixed(rng.integers(20, 40)), ""
+        name = pick(["token", "token", "api_key", "apikey", "API_KEY", "secret", "client_secret", "password", "passwd", "access_token", "key", "auth"])
+        quote = pick(['"', '"', "'", ""])
+        body = pick([hexed(40), hexed(32), mixed(rng.integers(16, 44)), mixed(rng.integers(8, 16)) + digits(2), mixed(20) + pick("+/_-") + mixed(19)])
+        return f"{name}{pick([' = ', '=', ': ', ':', ' '])}{quote}", body, quote
+
+    bare = lambda make: lambda: ("", make(), "")
+    makers = {"email": bare(email), "ip": bare(lambda: ".".join(number(256) for _ in range(4))), "card": bare(card), "phone": bare(phone), "secret": secret}
     others = [
-        lambda: f'token = "{hexed(40)}"', lambda: "AKIA" + "".join(pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), lambda: f"password={hexed(18)}", lambda: f"Version {number(9)}.{number(9)}",
+        lambda: f"commit {hexed(40)}", lambda: f"sha256:{hexed(64)}", lambda: "-".join(hexed(k) for k in (8, 4, 4, 4, 12)), lambda: f"the {pick(['token', 'password', 'key', 'secret'])} {plain(8)}", lambda: f"{pick(['token', 'key'])} = {plain(6)}", lambda: f"Version {number(9)}.{number(9)}",
         lambda: f"{rng.integers(1900, 2030)}-{rng.integers(10, 13)}-{rng.integers(10, 29)}", lambda: f"{number(24)}:{number(60)}:{number(60)}", lambda: "#" + digits(rng.integers(2, 9)), lambda: f"{number(9)}.{number(9)}.{number(9)}",
         lambda: digits(rng.integers(1, 9)), lambda: digits(rng.integers(12, 30)), lambda: "@" + plain(6), lambda: f"{number(999)},{digits(3)}.{digits(2)}", lambda: f"${number(5000)}.{digits(2)}", lambda: f"{300 + int(number(600))}.{number(999)}.{number(999)}.{number(999)}",
         lambda: f"{plain(4)}{number(99)}@ {plain(4)}", lambda: f"https://{plain(6)}.com/{digits(6)}", lambda: f"{number(99)}%", lambda: f"{number(12)}/{number(31)}/{rng.integers(1990, 2030)}",
@@ -134,10 +163,10 @@ def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[str, list[Span]]]:
         while len(text) < WINDOW:
             r = rng.random()
             if r < 0.12:
-                kind = pick(KINDS)
-                value = makers[kind]()
-                spans.append((kind, len(text), len(text) + len(value)))
-                text += value
+                kind = pick(MODEL_KINDS)
+                before, value, after = makers[kind]()
+                spans.append((kind, len(text + before), len(text + before + value)))
+                text += before + value + after
             elif r < 0.22:
                 text += pick(others)()
             else:
@@ -145,7 +174,7 @@ def examples(n: int = EXAMPLES, seed: int = 3) -> list[tuple[str, list[Span]]]:
                 text += word.capitalize() if rng.random() < 0.15 else word
             text += pick([" ", " ", " ", " ", ", ", ". ", "\n", ".\n"])
         cut = int(rng.integers(0, 30))  # windows start and end anywhere
-        out.append((text[cut : cut + WINDOW], [(k, max(0, a - cut), min(WINDOW, b - cut)) for k, a, b in spans if b > cut and a - cut < WINDOW]))
+        out.append((text[cut : cut + WINDOW], [(k, max(0, a - cut), min(WINDOW, b - cut)) for k, a, b in spans if k in kinds and b > cut and a - cut < WINDOW]))
     return out
 
 
@@ -155,7 +184,7 @@ def as_arrays(labelled: Sequence[tuple[str, list[Span]]]) -> tuple[np.ndarray, n
         c = codes(text)[:WINDOW]
         x[i, : len(c)] = c
         for kind, a, b in spans:
-            tag = 2 * KINDS.index(kind) + 1
+            tag = 2 * MODEL_KINDS.index(kind) + 1
             y[i, a:b] = tag + 1
             y[i, a] = tag
     return x, y
@@ -163,14 +192,40 @@ def as_arrays(labelled: Sequence[tuple[str, list[Span]]]) -> tuple[np.ndarray, n
 
 def train(labelled: Sequence[tuple[str, list[Span]]], passes: int = PASSES) -> BiLstmCrf:
     """A model from texts of up to WINDOW code points with labelled spans."""
-    model = BiLstmCrf(len(KINDS))
+    model = BiLstmCrf(len(MODEL_KINDS), HIDDEN)
     model.train(*as_arrays(labelled), passes)
     return model
 
 
+def settings_digest() -> str:
+    """What the default model depends on: its labelled texts, kinds and settings."""
+    sample = examples(50, kinds=MODEL_KINDS)
+    return hashlib.sha256(repr((MODEL_KINDS, WINDOW, EXAMPLES, PASSES, HIDDEN, sample)).encode()).hexdigest()
+
+
 @functools.lru_cache(1)
 def default_model() -> BiLstmCrf:
-    return train(examples())
+    """The model of the made-up labelled texts: from WEIGHTS if they are of these settings, else trained (minutes)."""
+    if os.path.exists(WEIGHTS):
+        with np.load(WEIGHTS) as saved:
+            if str(saved["settings"]) == settings_digest():
+                model = BiLstmCrf(len(MODEL_KINDS), HIDDEN)
+                model.weights = {k: saved[k].astype(np.float32) for k in model.weights}
+                return model
+    return train(examples(kinds=MODEL_KINDS))
+
+
+def precision_and_recall(model: BiLstmCrf, n: int = 2000, seed: int = 99) -> dict[str, tuple[float, float]]:
+    """By kind, from reconciled spans of made-up texts that training has not seen; spans that a window's edge cuts don't count."""
+    made = examples(n, seed, MODEL_KINDS)
+    right, found_, wanted = Counter(), Counter(), Counter()
+    for (text, spans), found in zip(made, model_spans([t for t, _ in made], model), strict=True):
+        inner = lambda xs, text=text: {x for x in xs if x[1] > 1 and x[2] < len(text) - 1}
+        got, want = inner(reconcile(text, base_spans(text), found)), inner(spans)
+        right.update(k for k, *_ in got & want)
+        found_.update(k for k, *_ in got)
+        wanted.update(k for k, *_ in want)
+    return {k: (right[k] / max(1, found_[k]), right[k] / max(1, wanted[k])) for k in MODEL_KINDS}
 
 
 def window_starts(size: int) -> list[int]:
@@ -205,18 +260,22 @@ def model_spans(texts: Sequence[str], model: BiLstmCrf) -> list[list[tuple[tuple
                 while j < end and own[j] == own[i] + 1:
                     j += 1
                 edge = (i == 0 and a > 0) or (j == end and b < size)
-                out[t].append(((edge, abs((i + j) / 2 - WINDOW / 2)), (KINDS[(int(own[i]) - 1) // 2], a + i, a + j)))
+                out[t].append(((edge, abs((i + j) / 2 - WINDOW / 2)), (MODEL_KINDS[(int(own[i]) - 1) // 2], a + i, a + j)))
     return out
 
 
 def reconcile(text: str, base: list[Span], found: list[tuple[tuple, Span]]) -> list[Span]:
-    """All spans of a text: the base ones, then those of windows, whole and central ones first, that are admissible and overlap none taken."""
+    """All spans of a text: the base ones, then those of windows, whole and central ones first, that are admissible and overlap none taken.
+
+    A secret may hold base spans, as a token's digits can look like a card.
+    """
     taken = list(base)
     for _, (kind, a, b) in sorted(found):
-        alone = kind == "email" or not (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit())  # no part of a longer number
-        if alone and admissible(kind, text[a:b]) and not any(a < y and x < b for _, x, y in taken):
+        alone = kind in ("email", "secret") or not (text[a - 1 : a].isdigit() or text[b : b + 1].isdigit())  # no part of a longer number
+        clash = any(a < y and x < b and not (kind == "secret" and k != "secret" and a <= x and y <= b) for k, x, y in taken)
+        if alone and not clash and admissible(kind, text[a:b]):
             taken.append((kind, a, b))
-    return sorted(taken, key=lambda s: (s[1], KINDS.index(s[0])))
+    return sorted(taken, key=lambda s: (s[1], MODEL_KINDS.index(s[0])))
 
 
 def find(docs: DataFrame, model: BiLstmCrf | None = None, text: str = "text") -> DataFrame:
@@ -224,8 +283,8 @@ def find(docs: DataFrame, model: BiLstmCrf | None = None, text: str = "text") ->
 
     base has the matches of the fixed patterns; spans has them and what the model adds. Both are ordered by start, then
     kind. Null and empty texts have none. Texts are cut into overlapping windows for the model, however long they are.
-    Columns named base or spans are replaced. Without a model, one is trained on the driver from made-up labelled
-    texts (EXAMPLES windows, always the same); its weights, a few kilobytes, go to the tasks.
+    Repeated rows get equal spans. Columns named base or spans are replaced. Without a model, the default one is taken,
+    which was trained from made-up labelled texts (EXAMPLES windows, always the same); its weights, some kilobytes, go to the tasks.
     """
     keep = [c for c in docs.columns if c.lower() not in ("base", "spans")]
     (body,) = fresh(docs, "body")
@@ -264,9 +323,22 @@ def masked(docs: DataFrame, model: BiLstmCrf | None = None, text: str = "text")
 def op1_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     shown = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
-    of_kind = lambda k: F.filter("base", lambda s: s["kind"] == k)
-    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(shown("base"), 256).alias("base_sha256"), shown("spans").alias("spans"))
+    count = lambda c, k: F.size(F.filter(c, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [count("base", k) for k in KINDS]
+    more = [count("spans", "secret"), F.size("spans").cast("long").alias("n_spans"), (F.size("spans") > 0).alias("has_private")]
+    return found.select("doc_id", *counts, F.sha2(shown("base"), 256).alias("base_sha256"), shown("spans").alias("spans"), *more)
+
+
+def main() -> None:
+    """Trains the default model, writes WEIGHTS and prints precision and recall by kind on unseen texts."""
+    model = train(examples(kinds=MODEL_KINDS))
+    np.savez_compressed(WEIGHTS, settings=settings_digest(), **{k: v.astype(np.float16) for k, v in model.weights.items()})
+    default_model.cache_clear()
+    for kind, (precision, recall) in precision_and_recall(default_model()).items():
+        print(f"{kind}: precision {precision:.3f}, recall {recall:.3f}")
+
 
+__all__ = ["base_spans", "default_model", "examples", "find", "masked", "op1_bilstm_crf_pii", "precision_and_recall", "reconcile", "train"]
 
-__all__ = ["base_spans", "default_model", "examples", "find", "masked", "op1_bilstm_crf_pii", "reconcile", "train"]
+if __name__ == "__main__":
+    main()
