@@ -256,7 +256,8 @@ def remove_repeats(docs: DataFrame, most: int = KEY_SEGMENTS) -> DataFrame:
     document that has it. So a passage that a third of all documents share is one segment in one index.
 
     A null or empty text has no words. A null doc_id is neither smaller nor larger than others: its row stays whole
-    and removes nothing. Rows with one doc_id remove nothing from each other. Other columns are not read.
+    and removes nothing. Rows with one doc_id remove nothing from each other. Ids are cast to long, so others than numbers
+    are an error. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
