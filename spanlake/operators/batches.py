@@ -31,12 +31,13 @@ def numbered(df: DataFrame, by: str | None, *order: str) -> DataFrame:
     every = F.ceil(F.size(bounds) / MOST_PARTS).cast("int")
     thin = picked.select(group, F.filter(bounds, lambda _, i: i % every == 0).alias(bounds))
     same = lambda a, b, *more: [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (group, *more)]
-    joined = rows.alias("a").join(thin.alias("b"), same("a", "b"), "left")
+    small = F.broadcast if by is None else lambda table: table  # a row of the whole table, and MOST_PARTS sizes
+    joined = rows.alias("a").join(small(thin).alias("b"), same("a", "b"), "left")
     parted = joined.select("a.*", F.coalesce(F.size(F.filter(F.col(f"b.{bounds}"), lambda x: x <= value)), F.lit(0)).alias(part))
     sizes = parted.groupBy(group, part).agg(F.count(F.lit(1)).alias(size))
     offsets = sizes.select(group, part, (F.sum(size).over(Window.partitionBy(group).orderBy(part)) - F.col(size)).alias(before))
     own = parted.withColumn("n", F.row_number().over(Window.partitionBy(group, part).orderBy(*order)).cast("long") - 1)
-    out = own.alias("a").join(offsets.alias("b"), same("a", "b", part))
+    out = own.alias("a").join(small(offsets).alias("b"), same("a", "b", part))
     return out.select(*[F.col(f"a.{c}") for c in df.columns if c != "n"], (F.col("a.n") + F.col(f"b.{before}")).alias("n"))
 
 
@@ -149,10 +150,15 @@ def overall(shards: DataFrame, by: str = "day") -> DataFrame:
 
 
 def rows_of(rows: DataFrame, ledger: DataFrame, by: str, order: str) -> DataFrame:
-    """The rows of the ledger's batches: each batch's range of places in its group, start to end (exclusive)."""
-    ranges = ledger.select(F.col(by).alias("_by"), "batch", "start", "end")
-    placed = numbered(rows, by, order)
-    return placed.join(ranges, (F.col(by) == F.col("_by")) & (F.col("n") >= F.col("start")) & (F.col("n") < F.col("end"))).drop("_by", "start", "end", "n")
+    """The rows of the ledger's batches: each batch's range of places in its group, start to end (exclusive).
+
+    Rows and ranges meet by blocks of BATCH_ROWS places, so that a row is compared with the ranges of its block only.
+    """
+    block = lambda place: F.floor(place / BATCH_ROWS).cast("long")
+    ranges = ledger.where(F.col("end") > F.col("start")).select(F.col(by).alias("_by"), "batch", "start", "end", F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1))).alias("_block"))
+    placed = numbered(rows, by, order).withColumn("_at", block(F.col("n")))
+    met = placed.join(ranges, (F.col(by) == F.col("_by")) & (F.col("_at") == F.col("_block")))
+    return met.where((F.col("n") >= F.col("start")) & (F.col("n") < F.col("end"))).drop("_by", "_block", "_at", "start", "end", "n")
 
 
 def statistics(spans: DataFrame, by: str = "day") -> DataFrame:
