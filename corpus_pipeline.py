@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.llm import bpe, decontam, langid, linededup, neardup
-from spanlake.llm.frames import bound_batches, cut, read
+from spanlake.llm.frames import bound_batches, read, stored
 
 #: The columns of documents, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -50,13 +50,13 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group of near copies, and one row of a doc_id that repeats.
+    """Keeps the document with the least doc_id of each group of near copies, and one of the rows that share its doc_id and text.
 
-    Rows without a doc_id all stay: nothing says which of them is which.
+    Rows of one doc_id with different texts all stay, as do rows without a doc_id: nothing says that they are copies.
     """
     bound_batches(spark)
     kept = neardup.near_duplicates(docs, NEAR_PERCENT).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    once = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
+    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
     named = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(once)).where("_row = 1").drop("_row")
     return named.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
@@ -90,5 +90,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what a stage returns is written to the checkpoint folder before the next reads it."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
