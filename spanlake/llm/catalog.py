@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from spanlake.llm import bpe, decontam, htmltext, langid, linededup, neardup, pii, quality, sharding, substring
+from spanlake.llm import bpe, conversations, decontam, fim, htmltext, langid, linededup, mixing, neardup, pii, quality, sharding, substring
 
 QUERIES = {
     "op1_bilstm_crf_pii": pii.op1_bilstm_crf_pii,
@@ -16,9 +16,14 @@ QUERIES = {
     "op5_fm_index_substring_dedup": substring.op5_fm_index_substring_dedup,
     "op9_fast_similarity_near_dedup": neardup.op9_fast_similarity_near_dedup,
     "op10_risk_controlled_rules": quality.op10_risk_controlled_rules,
+    "op11_viterbi_repair": conversations.op11_viterbi_repair,
+    "op12_streaming_fill_in_middle": fim.op12_streaming_fill_in_middle,
+    "op13_entropy_balancing": mixing.op13_entropy_balancing,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op4_rendezvous_shards": sharding.ORACLE,
     "op6_site_line_dedup": linededup.ORACLE,
+    "op11_viterbi_repair": conversations.ORACLE,
+    "op12_streaming_fill_in_middle": fim.ORACLE,
 }
