@@ -2,43 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanlake.operators.numbering import greedy, numbered
+
 #: Rows and bytes at which a batch is closed, and the states of a batch.
 BATCH_ROWS, BATCH_BYTES = 10_000, 32 << 20
 PENDING, UNCERTAIN, SUBMITTED = "pending", "uncertain", "submitted"
-#: A group is numbered in parts: one of so many of its rows is a bound by the hash of its order, and at most so many bounds are used.
-BOUND_EVERY, MOST_PARTS = 1 << 14, 256
-
-
-def numbered(df: DataFrame, by: str | None, *order: str) -> DataFrame:
-    """Adds n, the place of each row in its group (of the whole table without one) from 0.
-
-    A group is cut into ranges of its order, at values that a hash picks, so that they depend on the data alone; ranges are
-    numbered on their own and moved by the sizes of those before. So no task gets a group that is large. Rows that tie in
-    `order` may swap places. A null group is one.
-    """
-    taken = {c.lower() for c in df.columns}
-    group, part, bounds, size, before = (next(n for n in (f"{'_' * k}{name}" for k in range(1, 99)) if n not in taken) for name in ("group", "part", "bounds", "size", "before"))
-    rows = df.withColumn(group, F.col(by) if by else F.lit(0))
-    value = F.struct(*order)
-    picked = rows.where(F.pmod(F.xxhash64(*order), F.lit(BOUND_EVERY)) == 0).groupBy(group).agg(F.array_sort(F.collect_list(value)).alias(bounds))
-    every = F.ceil(F.size(bounds) / MOST_PARTS).cast("int")
-    thin = picked.select(group, F.filter(bounds, lambda _, i: i % every == 0).alias(bounds))
-    same = lambda a, b, *more: [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (group, *more)]
-    small = F.broadcast if by is None else lambda table: table  # a row of the whole table, and MOST_PARTS sizes
-    joined = rows.alias("a").join(small(thin).alias("b"), same("a", "b"), "left")
-    parted = joined.select("a.*", F.coalesce(F.size(F.filter(F.col(f"b.{bounds}"), lambda x: x <= value)), F.lit(0)).alias(part))
-    sizes = parted.groupBy(group, part).agg(F.count(F.lit(1)).alias(size))
-    offsets = sizes.select(group, part, (F.sum(size).over(Window.partitionBy(group).orderBy(part)) - F.col(size)).alias(before))
-    own = parted.withColumn("n", F.row_number().over(Window.partitionBy(group, part).orderBy(*order)).cast("long") - 1)
-    out = own.alias("a").join(small(offsets).alias("b"), same("a", "b", part))
-    return out.select(*[F.col(f"a.{c}") for c in df.columns if c != "n"], (F.col("a.n") + F.col(f"b.{before}")).alias("n"))
 
 
 def by_rows(df: DataFrame, by: str, order: str, rows: int = BATCH_ROWS) -> DataFrame:
@@ -52,52 +23,8 @@ def chunks(df: DataFrame, order: str, size: int) -> DataFrame:
 
 
 def by_bytes(df: DataFrame, by: str, order: str, size: str, rows: int = BATCH_ROWS, limit: int = BATCH_BYTES) -> DataFrame:
-    """by, order, batch: a batch closes after the row with which it has `rows` rows or `limit` bytes; a row over the limit may close it alone.
-
-    The cut starts anew after each batch, which no window function can say: a task streams a group's sizes in order, finds
-    the end of each batch by binary search in their sums, and holds two numbers from one Arrow batch to the next.
-    """
-    kinds = dict(df.dtypes)
-
-    def cut(sizes: np.ndarray, count: int, total: int) -> tuple[np.ndarray, int, int]:
-        """Batch numbers from 0, and the rows and bytes of the one that is left open."""
-        sums = np.cumsum(sizes)
-        ends, at = [], 0
-        while at < len(sizes):
-            base = int(sums[at - 1]) if at else 0
-            end = min(at + rows - count, int(np.searchsorted(sums, base + limit - total)) + 1)
-            if end > len(sizes):
-                return _marks(ends, len(sizes)), count + len(sizes) - at, total + int(sums[-1]) - base
-            ends.append(end)
-            at, count, total = end, 0, 0
-        return _marks(ends, len(sizes)), 0, 0
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, batch, count, total = object(), 0, 0, 0
-        for part in batches:
-            keys, sizes = part.column(0).to_pylist(), part.column(2).to_numpy()
-            heads = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]]
-            out = []
-            for a, b in zip(heads, [*heads[1:], len(keys)], strict=True):
-                if keys[a] != group:
-                    group, batch, count, total = keys[a], 0, 0, 0
-                marks, count, total = cut(sizes[a:b], count, total)
-                out.append(marks + batch)
-                batch = int(out[-1][-1]) + (count == 0)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(np.concatenate(out), pa.int64())], names=[by, order, "batch"])
-
-    slim = df.select(by, order, F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias(size))
-    return slim.repartition(by).sortWithinPartitions(by, order).mapInArrow(_filled(walk), f"`{by}` {kinds[by]}, `{order}` {kinds[order]}, batch long")
-
-
-def _marks(ends: list[int], n: int) -> np.ndarray:
-    out = np.zeros(n + 1, np.int64)
-    np.add.at(out, np.array(ends, np.int64), 1)
-    return np.cumsum(out)[:n]
-
-
-def _filled(walk):
-    return lambda batches: walk(b for b in batches if b.num_rows)
+    """by, order, batch: a batch closes after the row with which it has `rows` rows or `limit` bytes; a row over the limit may close it alone."""
+    return greedy(df, by, order, size, rows, limit)
 
 
 def round_robin(df: DataFrame, order: str, shards: int, by: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanlake.functions import values
-from spanlake.operators import batches, resources
+from spanlake.operators import batches, numbering, resources
 from spanlake.plans import cli, migrate, run
 from spanlake.sources import readers, senders, writers
 
@@ -161,8 +161,8 @@ def test_resources(spark, tmp_path):
 
 
 def test_numbers_do_not_depend_on_parts(spark, monkeypatch):
-    monkeypatch.setattr(batches, "BOUND_EVERY", 3)
-    monkeypatch.setattr(batches, "MOST_PARTS", 7)
+    monkeypatch.setattr(numbering, "PART_ROWS", 20)
+    monkeypatch.setattr(numbering, "MOST_BOUNDS", 7)
     r = random.Random(1)
     rows = [(r.choice(["a", "b", None]), i) for i in r.sample(range(10_000), 400)]
     got = {(x.g, x.i): x.n for x in batches.numbered(spark.createDataFrame(rows, "g string, i int"), "g", "i").collect()}
