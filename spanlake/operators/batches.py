@@ -9,7 +9,7 @@ from spanlake.operators.numbering import greedy, numbered
 
 #: Rows and bytes at which a batch is closed, and the states of a batch.
 BATCH_ROWS, BATCH_BYTES = 10_000, 32 << 20
-PENDING, UNCERTAIN, SUBMITTED = "pending", "uncertain", "submitted"
+PENDING, UNCERTAIN, SUBMITTED, WITHDRAWN = "pending", "uncertain", "submitted", "withdrawn"
 
 
 def by_rows(df: DataFrame, by: str, order: str, rows: int = BATCH_ROWS) -> DataFrame:
@@ -62,6 +62,13 @@ def transition(status: str, event: str) -> str:
     return moves[status, event]
 
 
+def states(events: DataFrame, by: str = "day") -> DataFrame:
+    """by, batch, start, end, status, rows, checksum, files of each batch from its events: the state after the last one, and what the last one that made it says. Withdrawn batches are none."""
+    made = F.max_by(F.struct("start", "end", "rows", "checksum", "files"), F.when(F.col("event") == "made", F.col("seq")))
+    last = events.groupBy(by, "batch").agg(made.alias("m"), F.max_by("status", "seq").alias("status"))
+    return last.where(F.col("status") != WITHDRAWN).select(by, "batch", "m.start", "m.end", "status", "m.rows", "m.checksum", "m.files")
+
+
 def progress(ledger: DataFrame, by: str = "day") -> DataFrame:
     """Of each shard: batches, submitted and uncertain ones, spans submitted, and whether it is complete."""
     done = F.col("status") == SUBMITTED

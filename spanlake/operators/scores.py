@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions import ids, names
+from spanlake.operators import batches
 
 GRANULARITY = {"observation": "span", "trace": "trace", "session": "session"}
 PREFIX = {"span": "eval", "trace": "trace_eval", "session": "session_eval"}
@@ -114,6 +115,23 @@ def pending(frames: DataFrame, applied: DataFrame) -> DataFrame:
     return left.withColumns({"window_start": start - hour, "window_end": start + F.expr("INTERVAL 1 DAY") + hour})
 
 
+def cell_digest() -> Column:
+    """Tells a deferred cell: its day, span and column, and what it says."""
+    return F.md5(F.to_json(F.struct("bucket", "target", "column", "number", "text", "day"), {"ignoreNullFields": "false"}).cast("binary"))
+
+
+def to_apply(frames: DataFrame, log: DataFrame | None) -> DataFrame:
+    """Deferred cells that no line of the log (digest) has, with their digest. A cell whose score was changed since counts as new."""
+    told = frames.withColumn("digest", cell_digest())
+    return told if log is None else told.join(log.select("digest"), "digest", "left_anti")
+
+
+def chunked(cells: DataFrame, rows: int) -> DataFrame:
+    """Adds chunk: the cells of so many spans of a day are one, by the span's id."""
+    targets = batches.numbered(cells.select("day", "target").distinct(), "day", "target")
+    return cells.join(targets.select("day", "target", F.floor(F.col("n") / rows).cast("long").alias("chunk")), ["day", "target"])
+
+
 def without_frames(shards: DataFrame, frames: DataFrame) -> DataFrame:
     """Days that were exported and have no deferred cells written: those to rebuild."""
     return shards.select("day").distinct().join(frames.select("day").distinct(), "day", "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.operators import resources
-from spanlake.plans.run import read_table
+from spanlake.plans.tables import read_table
 from spanlake.plans.settings import Settings
 from spanlake.sources import writers
 from spanlake.sources.readers import Source

@@ -1,4 +1,4 @@
-"""A sender that writes to a folder: batches, annotations and updates as files, each written whole and again in its place."""
+"""A sender that writes to a folder: batches as transactions, annotations and updates as files, each written whole and again in its place."""
 
 from __future__ import annotations
 
@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.operators import spans
+from spanlake.sources import sink
 
 
 class Folder:
     """A destination as a folder of Parquet: spans by day and batch, annotations by day, and updates.
 
-    A batch that is sent again replaces itself, so here an uncertain batch is no danger.
+    A batch counts once, however often it is sent, so here an uncertain batch is no danger.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -23,15 +24,19 @@ class Folder:
         rows, bad = spans.wide(batch, "evals") if "evals" in batch.columns else spans.wide(batch)
         if not bad.isEmpty():
             raise ValueError(f"{day}: {bad.first().reason}")
-        rows.withColumn("day", F.lit(day)).write.mode("overwrite").parquet(f"{self.path}/spans/{day}-{number}")
+        sink.register(self.spark)
+        rows.withColumn("day", F.lit(day)).write.format(sink.FORMAT).option("path", f"{self.path}/spans").option("batch", f"{day}-{number}").mode("append").save()
 
     def readable(self) -> DataFrame:
         """span_id, trace_id and start_time of what has landed."""
         columns = {"span_id": F.col("`context.span_id`"), "trace_id": F.col("`context.trace_id`"), "start_time": F.timestamp_micros((F.col("start_time") / 1000).cast("long"))}
-        return self.spark.read.parquet(f"{self.path}/spans/*").select(*[c.alias(k) for k, c in columns.items()])
+        sink.register(self.spark)
+        return self.spark.read.format(sink.FORMAT).load(f"{self.path}/spans").select(*[c.alias(k) for k, c in columns.items()])
 
     def annotate(self, records: DataFrame, start: datetime, end: datetime) -> None:
-        records.withColumns({"window_start": F.lit(start), "window_end": F.lit(end)}).write.mode("overwrite").parquet(f"{self.path}/annotations/{start:%Y%m%d}")
+        """Annotations of a call; records of one day and chunk that are sent again replace themselves."""
+        told = records.withColumns({"window_start": F.lit(start), "window_end": F.lit(end), "day": F.lit(f"{start:%Y%m%d}")})
+        told.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "chunk").parquet(f"{self.path}/annotations")
 
     def update(self, cells: DataFrame) -> None:
         cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{self.path}/updates")

@@ -20,11 +20,16 @@ def duplicate_ids(spans: DataFrame, day: str = "day", ident: str = "span_id") ->
     return spans.groupBy(day, ident).agg(F.count(F.lit(1)).alias("copies")).where((F.col("copies") > 1) | F.col(ident).isNull())
 
 
-def write_days(spans: DataFrame, path: str, overwrite: bool = False, day: str = "day", ident: str = "span_id") -> None:
-    """Writes spans as Parquet, a folder a day. Missing or repeated ids are refused; existing days are too, unless overwritten, and then only these days are replaced."""
+def refuse_duplicates(spans: DataFrame, day: str = "day", ident: str = "span_id") -> None:
+    """Raises if a day has an id more than once, or a null one."""
     bad = duplicate_ids(spans, day, ident).limit(1).collect()
     if bad:
         raise ShardError(f"{bad[0][day]}: span id {bad[0][ident]!r} is missing or repeated")
+
+
+def write_days(spans: DataFrame, path: str, overwrite: bool = False, day: str = "day", ident: str = "span_id") -> None:
+    """Writes spans as Parquet, a folder a day. Missing or repeated ids are refused; existing days are too, unless overwritten, and then only these days are replaced."""
+    refuse_duplicates(spans, day, ident)
     spark = spans.sparkSession
     if not overwrite:
         try:
