@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.catalog import _LEDGER, _ROOT, _SCORES, _SPAN, _TOPS, _anchors, _cells, _obs, query
+from spanlake.catalog import _LEDGER, _OBS, _ROOT, _SCORES, _SPAN, _TOPS, _anchors, _cells, _obs, query
 from spanlake.catalog_runs import _FIELD, _SPANS, _built
-from spanlake.operators import batches, scores
+from spanlake.operators import batches, scores, sketches, spans
 from spanlake.plans import tables
 from spanlake.plans.run import deferred_cells
 from spanlake.sources import fixtures, pages, scratch, sink, writers
@@ -102,3 +102,37 @@ def sent_once(spark: SparkSession, d: str) -> DataFrame:
     for batch, part in (("errors", rows.where(error)), ("others", rows.where(~error)), ("errors", rows.where(error))):
         part.write.format(sink.FORMAT).option("path", path).option("batch", batch).mode("append").save()
     return spark.read.format(sink.FORMAT).load(path).groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.count_if(error).alias("errors"))
+
+
+@query(f"""WITH {_OBS} SELECT CAST(date_trunc('week', start_time) AS DATE) AS week, count(*) AS rows, count(DISTINCT trace_id) AS traces, true AS near, true AS near_median, true AS near_high FROM obs GROUP BY 1""", days=("week",))
+def week_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Weeks from the sketches of their days: whether estimates are as near to the exact numbers as is stated."""
+    rows = spans.by_day(_obs(spark, d))
+    week = F.to_date(F.date_trunc("week", "day")).alias("week")
+    merged = sketches.of_ranges(sketches.of_days(rows), week).select("week", sketches.distinct().alias("found"), sketches.quantile(0.5).alias("median"), sketches.quantile(0.95).alias("high"))
+    told = rows.select(week, "trace_id", sketches.duration().alias("took")).join(merged, "week")
+    below = lambda c, share: (F.count_if(F.col("took") < F.col(c)) <= (share + 0.01) * F.count("took")) & (F.count_if(F.col("took") <= F.col(c)) >= (share - 0.01) * F.count("took"))
+    exact = told.groupBy("week").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("trace_id").alias("traces"), F.first("found").alias("found"), below("median", 0.5).alias("near_median"), below("high", 0.95).alias("near_high"))
+    return exact.select("week", "rows", "traces", (F.abs(F.col("found") - F.col("traces")) <= 0.03 * F.col("traces") + 1).alias("near"), "near_median", "near_high")
+
+
+@query(f"""WITH {_SCORES}, w AS (SELECT target, max(v.t) FILTER (WHERE "column" = 'eval.event_type.label') AS label, max(v.n) FILTER (WHERE "column" = 'trace_eval.quality.score') AS quality,
+  list(DISTINCT "column" ORDER BY "column") FILTER (WHERE "column" NOT IN (SELECT "column" FROM (SELECT "column", count(DISTINCT target) AS n FROM cells WHERE bucket = 'evals' GROUP BY 1 ORDER BY n DESC, "column" LIMIT 3))) AS others FROM cells WHERE bucket = 'evals' GROUP BY target)
+SELECT target, label, CASE WHEN list_contains(others, 'trace_eval.quality.score') THEN NULL ELSE quality END AS quality, CASE WHEN list_contains(others, 'trace_eval.quality.score') THEN quality END AS rest_quality, CAST(coalesce(len(others), 0) AS BIGINT) AS others FROM w""")
+def found_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Evaluations as a table that finds its three columns itself; the others are in a VARIANT."""
+    table = scores.wide(_cells(spark, d).where("bucket = 'evals'"), 3)
+    column = lambda c, kind: F.col(f"`{c}`") if c in table.columns else F.lit(None).cast(kind)
+    rest = F.map_keys(F.try_variant_get("rest", "$", "map<string,variant>"))
+    return table.select("target", column("eval.event_type.label", "string").alias("label"), column("trace_eval.quality.score", "double").alias("quality"), F.try_variant_get("rest", "$['trace_eval.quality.score'].number", "double").alias("rest_quality"), F.coalesce(F.size(rest), F.lit(0)).cast("long").alias("others"))
+
+
+@query("""WITH j AS (SELECT event_id, json_extract_string(props, '$.k') AS k, event_type FROM events)
+SELECT event_id, 'k' AS name, k AS text, NULL AS list FROM j WHERE k IS NOT NULL UNION ALL SELECT event_id, 'tags', NULL, [event_type, CAST(event_id AS VARCHAR), 'true'] FROM j
+UNION ALL SELECT event_id, 'deep.x.y', CAST(event_id * 2 AS VARCHAR), NULL FROM j WHERE event_id % 3 = 0 UNION ALL SELECT event_id, 'deep.mix', '[1,{"a":' || event_id || '}]', NULL FROM j WHERE event_id % 3 = 0 UNION ALL SELECT event_id, 'deep', event_type, NULL FROM j WHERE event_id % 3 = 1""")
+def attribute_leaves(spark: SparkSession, d: str) -> DataFrame:
+    """Leaves of objects whose parts differ from row to row; lists of scalars stay lists."""
+    e, number = fixtures.table(spark, d, "events"), F.col("event_id").cast("string")
+    deep = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"x":{"y":'), (F.col("event_id") * 2).cast("string"), F.lit(',"none":null},"mix":[1,{"a":'), number, F.lit('}],"empty":[]}'))).when(F.col("event_id") % 3 == 1, F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))).otherwise("null")
+    json = F.concat(F.lit('{"k":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.lit(',"tags":["'), F.col("event_type"), F.lit('",'), number, F.lit(',true],"deep":'), deep, F.lit("}"))
+    return spans.leaves(e.select("event_id", json.alias("json")), "json", "event_id")

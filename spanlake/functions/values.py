@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -179,10 +180,23 @@ def iso(moment: Column) -> Column:
     return F.concat(whole, F.when(F.date_format(moment, "SSSSSS") != "000000", F.concat(F.lit("."), F.date_format(moment, "SSSSSS"))).otherwise(F.lit("")), F.lit("Z"))
 
 
+def nesting(json: Column) -> Column:
+    """How deep the objects of a JSON text lie in each other, lists apart: 1 for a flat one. One pass over the text."""
+    braces = F.regexp_replace(F.regexp_replace(json, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', ""), r"[^{}]++", "")
+    step = lambda s, c: F.struct((s["at"] + F.when(c == "{", 1).otherwise(-1)).alias("at"), F.greatest(s["most"], s["at"] + F.when(c == "{", 1).otherwise(0)).alias("most"))
+    return F.aggregate(F.filter(F.split(braces, ""), lambda c: c != ""), F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")), step)["most"]
+
+
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used: an expression within a lambda is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def flatten_json(json_object: Column, depth: int | None = None) -> Column:
     """A JSON object's leaves under dotted names (map of text, by name), however deep; with a depth, what lies deeper stays JSON text.
 
-    Lists stay JSON text; null and empty lists are left out. Of leaves that would have one name the first stays.
+    Lists stay JSON text; null and empty lists are left out. Of leaves that would have one name the first stays. A turn opens
+    one level, so the work is the text's length by its depth, however wide it is. `spans.leaves` keeps lists as lists.
     """
     of = "map<string, string>"
 
@@ -190,11 +204,11 @@ def flatten_json(json_object: Column, depth: int | None = None) -> Column:
         inner = F.transform(F.map_entries(F.from_json(e["value"], of)), lambda i: F.struct(F.concat(e["key"], F.lit("."), i["key"]).alias("key"), i["value"].alias("value")))
         return F.when(e["value"].startswith("{") & is_json(e["value"]), inner).otherwise(F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))
 
-    braces = F.length(json_object) - F.length(F.replace(json_object, F.lit("{"), F.lit("")))  # no text is nested deeper
-    turns = braces - 1 if depth is None else F.least(braces - 1, F.lit(depth - 1))
+    levels = nesting(json_object)
+    turns = levels - 1 if depth is None else F.least(levels - 1, F.lit(depth - 1))
     steps = F.when(turns > 0, F.sequence(F.lit(1), turns)).otherwise(F.array().cast("array<int>"))
     leaves = F.aggregate(steps, F.map_entries(F.from_json(json_object, of)), lambda found, _: F.flatten(F.transform(found, spread)))
     kept = F.filter(leaves, lambda e: e["value"].isNotNull() & (e["value"] != "[]"))
-    names = F.transform(kept, lambda e: e["key"])
-    first = F.filter(kept, lambda e, i: F.array_position(names, e["key"]) == i + 1)
-    return F.map_from_entries(F.array_sort(first))
+    ordered = F.array_sort(F.transform(kept, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
+    first = _held(ordered, lambda all_: F.filter(all_, lambda e, i: (i == 0) | (e["key"] != F.get(all_, i - 1)["key"])))
+    return F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))

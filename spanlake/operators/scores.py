@@ -11,6 +11,8 @@ from spanlake.functions import ids, names
 from spanlake.operators import batches
 
 GRANULARITY = {"observation": "span", "trace": "trace", "session": "session"}
+#: Columns of a wide table of evaluations; further ones share a VARIANT.
+MOST_COLUMNS = 200
 PREFIX = {"span": "eval", "trace": "trace_eval", "session": "session_eval"}
 
 
@@ -148,6 +150,24 @@ def pivot(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
     return cells.groupBy("target").agg(*[(value(c).try_cast("double") if c.endswith(".score") else value(c)).alias(c) for c in columns])
 
 
+def wide(cells: DataFrame, most: int = MOST_COLUMNS) -> DataFrame:
+    """target, the columns of the cells themselves, and rest: cells of one bucket as a wide table whose columns are found first.
+
+    The first look counts targets by column; the `most` that most targets have (ties: by name) become columns, scores as numbers,
+    others as text, and the driver gets these names only. The second is one aggregation. What has no column of its own is in
+    rest, a VARIANT object by name (null without any), so nothing is lost however many names there are. A target has one cell of
+    a column, as `long_columns` gives them.
+    """
+    found = cells.groupBy("column").agg(F.count_distinct("target").alias("n")).orderBy(F.desc("n"), "column").limit(most).select("column").collect()
+    own = sorted(r.column for r in found)
+    of = lambda c: F.max(F.when(F.col("column") == c, F.col("number") if c.endswith(".score") else F.coalesce("text", F.col("number").cast("string")))).alias(c)
+    told = F.struct(F.col("column").alias("key"), F.struct("number", "text").alias("value"))
+    others = F.array_sort(F.collect_list(F.when(~F.col("column").isin(own), told)))
+    rest = F.when(F.size("_rest") > 0, F.parse_json(F.to_json(F.map_from_entries("_rest"))))
+    grouped = cells.groupBy("target").agg(*[of(c) for c in own], others.alias("_rest"))
+    return grouped.select("target", *[F.col(f"`{c}`") for c in own], rest.alias("rest"))
+
+
 def attach(spans: DataFrame, cells: DataFrame) -> DataFrame:
     """Cells of evals with the span that each belongs to."""
     return cells.where("bucket = 'evals'").join(spans.select(F.col("span_id").alias("target"), "trace_id", "name", "span_kind"), "target")

@@ -135,6 +135,32 @@ def session_anchors(observations: DataFrame, trace_roots: DataFrame, per: tuple[
     return joined.groupBy(*per, "session_id").agg(F.min_by("root_id", F.struct("first_start", "trace_id")).alias("anchor"))
 
 
+def leaves(df: DataFrame, json: str, *keys: str) -> DataFrame:
+    """keys, name, text, list: the leaves of a column's JSON objects under dotted names, a row each.
+
+    A scalar is text; a list of scalars is a list of texts; another list is JSON text; nulls and empty lists are left out, as are
+    texts that are no JSON object. Objects are VARIANT, opened level by level by lateral joins, so the work is that of the leaves
+    by their depth. How deep the column goes is looked at once, when this is called.
+    """
+    deepest = df.agg(F.max(values.nesting(F.col(json)))).first()[0] or 0
+    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
+    level = df.select(*keys, F.lit(None).cast("string").alias("_name"), F.try_parse_json(F.col(json)).alias("_value")).where(F.col("_value").isNotNull() & is_object(F.col("_value")))
+    found = []
+    for _ in range(deepest):
+        inner = level.alias("l").lateralJoin(level.sparkSession.tvf.variant_explode(F.col("l._value").outer()).alias("i"))
+        opened = inner.select(*[f"l.{k}" for k in keys], F.concat_ws(".", "l._name", "i.key").alias("_name"), F.col("i.value").alias("_value")).where(F.col("_value").isNotNull() & ~F.is_variant_null("_value"))
+        found.append(opened.where(~is_object(F.col("_value"))))
+        level = opened.where(is_object(F.col("_value")))
+    out = found[0] if found else level
+    for more in found[1:]:
+        out = out.unionByName(more)
+    parts = F.try_variant_get("_value", "$", "array<variant>")
+    scalar = F.forall(parts, lambda v: ~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY|VOID)"))
+    texts = F.transform(parts, lambda v: F.try_variant_get(v, "$", "string"))
+    whole = F.when(parts.isNull(), F.try_variant_get("_value", "$", "string")).when(~scalar, F.to_json("_value"))
+    return out.where(parts.isNull() | (F.size(parts) > 0)).select(*keys, F.col("_name").alias("name"), whole.alias("text"), F.when(parts.isNotNull() & scalar, texts).alias("list"))
+
+
 def wide(spans: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected): spans under dotted names with nanosecond times; a span without ids or that ends before it starts is rejected. more: further columns, as they are."""
     nanos = lambda c: values.nanos_of_time(F.col(c))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +85,13 @@ def migrate(spark: SparkSession, source: Source, target: str, options: Options |
     What can't be made is failed with its reason; what is there is skipped. An unknown family, or one whose source can't be
     read, is one failed row, and the others go on. dry: nothing is written.
     """
+    options = replace(options or Options(), code_folder=None) if dry else options or Options()
     out = spark.createDataFrame([], "family string, name string, outcome string, detail string")
     for family in families:
         try:
             if family not in MAKERS:
                 raise ValueError("unknown family")
-            planned, name = MAKERS[family](source, options or Options())
+            planned, name = MAKERS[family](source, options)
             existing = _existing(spark, target, family)
             found = resources.outcomes(family, planned, name, F.col("reason"), None if existing is None else existing.select(F.col(name).alias("name")))
             rows = found.collect()  # a resource is configuration, set up by hand

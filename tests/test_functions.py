@@ -1,9 +1,11 @@
 import hashlib
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from spanlake.functions import ids, names, prompts, values
+from spanlake.operators import spans
 
 
 def one(spark, column, value=None, kind="string"):
@@ -75,6 +77,25 @@ def test_flatten(spark):
     assert one(spark, values.flatten_json, '{"a":{"b":{"c":1}},"d":[1,{"e":2}],"n":null,"z":[]}') == {"a.b.c": "1", "d": '[1,{"e":2}]'}
 
 
+def test_wide_objects_are_flattened_in_a_second(spark):
+    """10,000 objects side by side in one cell; braces within texts don't count."""
+    wide = "{" + ",".join(f'"k{i}":{{"a":{i},"b":"}}{{\\"{i}"}}' for i in range(10_000)) + "}"
+    df = spark.createDataFrame([(wide,)], "j string").cache()
+    assert one(spark, values.nesting, '{"a":"}{{","b":{"c":[{"d":{}}]},"e":{}}') == 4 and df.select(values.nesting(F.col("j"))).first()[0] == 2
+    flat = df.select(F.map_entries(values.flatten_json(F.col("j"))).alias("e"))
+    flat.first()
+    began = time.perf_counter()
+    got = flat.first().e
+    assert time.perf_counter() - began < 3 and len(got) == 20_000 and {e.key: e.value for e in got}["k7.b"] == '}{"7'
+
+
+def test_leaves(spark):
+    rows = [(1, '{"l":[1,"a",true],"m":[],"o":{"p":[[1]],"q":{"r":2,"t":[null,1]}},"s":"y","u":null,"v":[{"a":1}]}'), (2, "[1]"), (3, None), (4, "x"), (5, "{}"), (6, '{"a":{"b":{}}}')]
+    got = {(r.k, r.name): (r.text, r.list) for r in spans.leaves(spark.createDataFrame(rows, "k int, j string"), "j", "k").collect()}
+    assert got == {(1, "l"): (None, ["1", "a", "true"]), (1, "o.p"): ("[[1]]", None), (1, "o.q.r"): ("2", None), (1, "o.q.t"): ("[null,1]", None), (1, "s"): ("y", None), (1, "v"): ('[{"a":1}]', None)}
+    assert spans.leaves(spark.createDataFrame([], "k int, j string"), "j", "k").count() == 0
+
+
 def test_names(spark):
     assert one(spark, names.column_name, " a--b.c__d ") == "a_b_c_d"
     assert one(spark, names.column_name, "  ") is None
