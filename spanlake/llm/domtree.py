@@ -5,30 +5,32 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: A comment, a declaration, or a tag: its slash, its name and its attributes. A quote opens a value only right after the equals
+#: sign; elsewhere, and within a value without quotes, it is a character like others. Nothing is tried twice.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/][^\s=/]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s]*+)))?+")
 #: Fixed values of HTML: elements without content, with raw text, that end a paragraph, and what each closes when it starts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe template".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 INLINE_SCOPE = frozenset("table td th caption button article section div main body html".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
 ENDS_P = BLOCK - frozenset("br option select caption td th tr tbody thead tfoot head html body title legend summary".split())
 #: Fixed values of HTML and ARIA: elements and roles that are no part of an article by their meaning.
-CHROME_TAGS = frozenset("nav aside footer form script style head title noscript iframe template svg math button select textarea menu dialog input label canvas object".split())
+CHROME_TAGS = frozenset("nav aside footer form script style head title noscript iframe template select textarea menu dialog input".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Class and id names of what is no article. A name counts as a whole, or if its other parts say only where or how large
 #: something is. They mark containers; of the names of text elements only those of adverts do.
 CHROME_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside ad ads adv advert adverts advertisement advertising banner promo promotion promotions sponsor sponsored sponsors "
     "cookie cookies consent gdpr notice notices notification notifications popup modal overlay newsletter subscribe subscription signup login search comment comments reply replies respond disqus "
-    "share sharing social related recommended recommendations widget widgets pager pagination copyright toolbar".split()
+    "share sharing social related recommended recommendations teaser teasers widget widgets pager pagination copyright toolbar".split()
 )
 ADVERT_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsored".split())
 NEUTRAL_NAMES = frozenset("list box boxes wrapper wrap container block blocks section area bar left right top bottom site page global inner outer slot unit item items link links button buttons post posts form panel row col column main primary secondary large small mobile desktop group".split())
-CONTAINER_TAGS = frozenset("div section ul ol dl table details figure header center fieldset blockquote".split())
+CONTAINER_TAGS = frozenset("div section article ul ol dl table details header center fieldset blockquote".split())
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
 #: Child lists whose sizes multiply to more than this, once equal ends are paired, are matched in one pass.
 MATCH_CELLS = 4096
@@ -40,17 +42,21 @@ def named_chrome(tag: str, names: list[str]) -> bool:
     for name in names:
         parts = [p.lower() for p in _NAME_PARTS.findall(name)]
         if any(p in wanted for p in parts) and all(p in CHROME_NAMES or p in NEUTRAL_NAMES for p in parts):
-            return tag not in ("body", "html", "article", "main")
+            return tag not in ("body", "html", "main")
     return False
 
 
 class Node:
-    """An element: tag, a signature that same-host pages share, children (nodes and texts), whether it is chrome by its meaning, and whether its names say so."""
+    """An element: tag, a signature that same-host pages share, children (nodes and texts), whether it is chrome by its meaning, and whether its names say so.
 
-    __slots__ = ("tag", "sign", "kids", "chrome", "named", "up")
+    paragraph: the open <p> that a block element in this one would end.
+    """
+
+    __slots__ = ("tag", "sign", "kids", "chrome", "named", "up", "paragraph")
 
     def __init__(self, tag: str, sign: str, chrome: bool, up: Node | None, named: bool = False):
         self.tag, self.sign, self.chrome, self.up, self.named, self.kids = tag, sign, chrome, up, named, []
+        self.paragraph = self if tag == "p" else None if up is None or tag in INLINE_SCOPE else up.paragraph
 
     def nodes(self) -> list[Node]:
         """The children that are elements and no chrome."""
@@ -70,11 +76,41 @@ def digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _marks(attributes: str, tag: str) -> tuple[list[str], bool, bool]:
+    """Of a tag's attributes: the first class names, whether its role is chrome, and whether its class or id names are."""
+    marks, chrome, named, seen = [], False, False, set()
+    for a in ATTRIBUTE.finditer(attributes):
+        kind = a[1].lower()
+        if kind not in ("class", "id", "role") or kind in seen:
+            continue
+        seen.add(kind)
+        value = next((x for x in a.groups()[1:] if x is not None), "")
+        if kind == "class":
+            marks = value.split()[:2]
+        if kind == "role":
+            chrome = value.strip().lower() in CHROME_ROLES and tag not in ("body", "html")
+        else:
+            named = named or named_chrome(tag, value.split())
+    return marks, chrome, named
+
+
 def parse(source: str) -> Node:
-    """The tree of a page. Unclosed and misplaced tags are mended roughly as browsers do; nothing is an error."""
+    """The tree of a page. Unclosed and misplaced tags are mended roughly as browsers do; nothing is an error.
+
+    Tags that are open are counted, so the tree is climbed only to what is there, and each step up is a step that was made down.
+    """
     root = Node("#", "#", False, None)
-    here, at = root, 0
-    size = len(source)
+    here, at, size = root, 0, len(source)
+    open_: Counter[str] = Counter()
+
+    def leave(node: Node) -> Node:
+        """Closes all that is open up to a node, and says what is around it."""
+        x = here
+        while x is not node.up:
+            open_[x.tag] -= 1
+            x = x.up
+        return x
+
     while at < size:
         m = TAG.search(source, at)
         if m is None:
@@ -87,44 +123,25 @@ def parse(source: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            node = here
-            while node.up and node.tag != tag:
-                node = node.up
-            if node.up:
-                here = node.up
+            if open_[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.up
+                here = leave(node)
             elif tag in BLOCK:
                 here.kids.append(Node("br", "br", False, here))
             continue
-        if tag in ENDS_P:
-            node = here
-            while node.up and node.tag != "p" and node.tag not in INLINE_SCOPE:
-                node = node.up
-            if node.tag == "p":
-                here = node.up
+        if tag in ENDS_P and here.paragraph is not None:
+            here = leave(here.paragraph)
         for other in CLOSES.get(tag, ()):
-            node = here
+            node = here if open_[other] else root
             while node.up and node.tag != other and node.tag not in ("ul", "ol", "dl", "table", "select", "body"):
                 node = node.up
             if node.tag == other:
-                here = node.up
-        sign, chrome, named = tag, tag in CHROME_TAGS, False
-        if m[3] and "=" in m[3]:
-            marks = []
-            for a in ATTRIBUTE.finditer(m[3]):
-                value, kind = a[2] or a[3] or a[4] or "", a[1].lower()
-                if kind == "class":
-                    marks += value.split()[:2]
-                if kind == "role":
-                    chrome = chrome or value.strip().lower() in CHROME_ROLES and tag not in ("body", "html")
-                else:
-                    named = named or named_chrome(tag, value.split())
-            sign = ".".join([tag, *marks])
-        if tag == "header":
-            node = here
-            while node.up and node.tag != "article":
-                node = node.up
-            chrome = chrome or node.tag != "article"
-        node = Node(tag, sign, chrome, here, named)
+                here = leave(node)
+        marks, role, named = _marks(m[3], tag) if "=" in m[3] else ([], False, False)
+        chrome = role or tag in CHROME_TAGS or tag == "header" and not open_["article"]
+        node = Node(tag, ".".join([tag, *marks]), chrome, here, named)
         here.kids.append(node)
         if tag in RAW and not m[3].endswith("/"):
             end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(source, at)
@@ -132,6 +149,7 @@ def parse(source: str) -> Node:
             at = end.end() if end else size
         elif tag not in VOID and not m[3].endswith("/"):
             here = node
+            open_[tag] += 1
     return root
 
 

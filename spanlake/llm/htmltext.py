@@ -46,24 +46,40 @@ def link_text(node: Node) -> int:
     return sum(len(text_of(n)) for n in node.elements() if n.tag == "a" and n.up.tag != "a")
 
 
-def main_nodes(root: Node, dull: Callable[[Node], bool]) -> tuple[list[Node], bool]:
-    """The nodes that hold the article, and whether the page says so: the outermost <article>, else <main>, else the densest node.
+def _solid(text: str) -> int:
+    return sum(map(len, text.split()))
 
-    The densest node is found from the top over text that isn't dull: a child with DENSE_SHARE of all of it takes the place
-    of its parent, unless the parent has headings or paragraphs of its own.
+
+def sizes(root: Node, dull: Callable[[Node], bool]) -> dict[int, tuple[int, int]]:
+    """Characters, white space apart, of the text below each element that isn't dull, and of those in links; each text is looked at once."""
+    out: dict[int, tuple[int, int]] = {}
+    for n in reversed(list(root.elements())):
+        own = links = 0
+        for k in () if dull(n) else n.kids:
+            if isinstance(k, str):
+                own += _solid(k)
+            elif id(k) in out:
+                own, links = own + out[id(k)][0], links + out[id(k)][1]
+        out[id(n)] = own, own if n.tag == "a" else links
+    return out
+
+
+def main_node(root: Node, dull: Callable[[Node], bool]) -> tuple[Node, bool]:
+    """The node that holds the article, and whether the page says so: of the outermost <article>s the one with most text that isn't dull, else <main>, else the densest node.
+
+    An element whose names mark comments, teasers and the like is no article as long as another is there. The densest node is
+    found from the top over text that isn't dull: a child with DENSE_SHARE of all of it takes the place of its parent, unless
+    the parent has headings or paragraphs of its own.
     """
+    size = {k: own for k, (own, _) in sizes(root, lambda n: n.named or dull(n)).items()}
     for named, tag in ((False, "article"), (False, "main"), (True, "article"), (True, "main")):
         if there := _outermost(root, tag, named):
-            return there, True
-    size: dict[int, int] = {}
-    for n in reversed(list(root.elements())):
-        own = 0 if n.named or dull(n) else sum(len(k.strip()) if isinstance(k, str) else size.get(id(k), 0) for k in n.kids)
-        size[id(n)] = own
+            return max(there, key=lambda n: size[id(n)]), True  # the first of those with as much
     here = root
     while True:
         kids = [k for k in here.nodes() if size[id(k)] >= DENSE_SHARE * size[id(root)] > 0]
         if not kids or kids[0].tag in _TEXTS or any(k.tag in _OWN_TEXTS and size[id(k)] for k in here.nodes() if k is not kids[0]):
-            return [here], False
+            return here, False
         here = kids[0]
 
 
@@ -106,13 +122,10 @@ def extract(source: str | None, wrapper: Wrapper | None) -> str:
     constant = {id(n) for n in root.elements() if id(n) not in inside and (known := wrapper.template.get(where.get(id(n)))) and (text := block_text(n)) and digest(text) in known}
     menus = {id(n) for n in root.elements() if where.get(id(n)) in wrapper.menus and id(n) not in inside}
     if wrapper.tree is None:
-        for n in root.elements():
-            if n.tag in ("ul", "ol") and (text := text_of(n)) and link_text(n) >= LINK_SHARE * len(text):
-                menus.add(id(n))
-    mains, marked = main_nodes(root, lambda n: id(n) in constant or id(n) in menus)
-    first = {id(n) for n in mains}
-    skip = lambda n: id(n) not in first and (n.named or id(n) in constant or not marked and id(n) in menus)
-    return " ".join(filter(None, (text_of(n, skip) for n in mains)))
+        own = sizes(root, lambda n: False)
+        menus |= {id(n) for n in root.elements() if n.tag in ("ul", "ol") and own[id(n)][0] and own[id(n)][1] >= LINK_SHARE * own[id(n)][0]}
+    main, marked = main_node(root, lambda n: id(n) in constant or id(n) in menus)
+    return text_of(main, lambda n: n is not main and (n.named or id(n) in constant or not marked and id(n) in menus))
 
 
 def _batched(run: Callable[[pa.RecordBatch], pa.RecordBatch], rows: int = 100) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
