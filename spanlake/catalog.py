@@ -499,4 +499,4 @@ def names_and_reasons(spark: SparkSession, d: str) -> DataFrame:
     return n.select("n_nationkey", names.project_name(F.concat(F.lit(" --Q"), F.col("n_nationkey").cast("string"), F.lit(" / "), F.col("n_name"), F.lit("!"))).alias("project"), reason.alias("reason"), names.not_yet_indexed(reason).alias("waits"), names.redacted(F.concat(F.lit("sk-a"), "n_name")).alias("secret"))
 
 
-from spanlake import catalog_records, catalog_runs, catalog_transfer  # noqa: E402, F401  they register their queries
+from spanlake import catalog_records, catalog_runs, catalog_transfer, catalog_varied  # noqa: E402, F401  they register their queries

@@ -73,6 +73,15 @@ def cells_to_apply(spark: SparkSession, d: str) -> DataFrame:
     return scores.to_apply(frames, log).select("day", "bucket", "target", "column", "number", "text")
 
 
+@query(f"""WITH {_SCORES}, {_SPANS}, pc AS (SELECT bucket, day FROM cells LEFT JOIN anchors ON bucket = 'session_evals' AND target = session_id JOIN sp ON coalesce(anchor, target) = span_id)
+SELECT bucket, day(day) % 2 = 0 AND bucket = 'annotations' AS applied, count(*) AS cells FROM pc GROUP BY ALL""")
+def merged_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Deferred cells of all days in one plan, by what became of them; the log tells some lines twice."""
+    frames = deferred_cells(scores.placed(_cells(spark, d), _built(spark, d), _anchors(spark, d)), bulk=False)
+    log = frames.where((F.col("bucket") == "annotations") & (F.dayofmonth("day") % 2 == 0)).select(scores.cell_digest().alias("digest"))
+    return scores.plan(frames, log.unionByName(log)).groupBy("bucket", "applied").agg(F.count(F.lit(1)).alias("cells"))
+
+
 @query(f"""WITH {_SCORES}, {_SPANS}, t AS (SELECT DISTINCT day, target FROM cells JOIN sp ON target = span_id WHERE bucket = 'annotations')
 SELECT day, target, CAST((row_number() OVER (PARTITION BY day ORDER BY target) - 1) // {BATCH} AS BIGINT) AS chunk FROM t""", days=("day",))
 def annotation_calls(spark: SparkSession, d: str) -> DataFrame:

@@ -128,6 +128,15 @@ def to_apply(frames: DataFrame, log: DataFrame | None) -> DataFrame:
     return told if log is None else told.join(log.select("digest"), "digest", "left_anti")
 
 
+def plan(frames: DataFrame, log: DataFrame | None) -> DataFrame:
+    """Deferred cells with applied: whether a line of the log has them."""
+    told = frames.withColumn("digest", cell_digest())
+    if log is None:
+        return told.drop("digest").withColumn("applied", F.lit(False))
+    lines = log.select("digest").distinct().withColumn("_told", F.lit(True))
+    return told.join(lines, "digest", "left").withColumn("applied", F.coalesce("_told", F.lit(False))).drop("digest", "_told")
+
+
 def chunked(cells: DataFrame, rows: int) -> DataFrame:
     """Adds chunk: the cells of so many spans of a day are one, by the span's id."""
     targets = batches.numbered(cells.select("day", "target").distinct(), "day", "target")

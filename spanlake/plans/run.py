@@ -235,6 +235,12 @@ def verify_total(spark: SparkSession, target: str, readable: int) -> dict[str, i
     return {"expected": expected, "readable": readable, "missing": max(0, expected - readable)}
 
 
+def score_plan(spark: SparkSession, target: str) -> DataFrame | None:
+    """The deferred cells of all days as one table with what became of them: applied is true for those in the log. None before the first export."""
+    frames, log = tables.read_table(spark, f"{target}/frames"), tables.read_table(spark, f"{target}/applied")
+    return None if frames is None else scores.plan(frames, log)
+
+
 def rebuild_frames(source: Source, target: str, bulk: bool = True) -> int:
     """Writes the deferred frames of exported days that have none, from the source; spans and ledger stay as they are. Returns the number of days.
 

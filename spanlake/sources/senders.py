@@ -1,14 +1,34 @@
-"""A sender that writes to a folder: batches as transactions, annotations and updates as files, each written whole and again in its place."""
+"""Senders: one that hands rows to tasks, and one that writes to a folder: batches as transactions, annotations and updates as files, each written whole and again in its place."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.operators import spans
-from spanlake.sources import sink
+from spanlake.sources import sink, writers
+
+
+class Tasks:
+    """A destination that many tasks send to at once: `emit` gets the rows of a task, has sent all of them when it returns, and raises if it hasn't.
+
+    A batch is done when all its tasks are, so nothing of it waits in a buffer when the next one starts. Rows carry their ids: a
+    task that runs again sends the same spans under the same ids.
+    """
+
+    def __init__(self, emit: Callable[[Iterator[Row]], None], workers: int = 8):
+        if not 1 <= workers <= writers.MOST_WORKERS:
+            raise ValueError(f"workers must be 1 to {writers.MOST_WORKERS}")
+        self.emit, self.workers = emit, workers
+
+    def send(self, batch: DataFrame, day: object, number: int) -> None:
+        rows, bad = spans.wide(batch, "evals") if "evals" in batch.columns else spans.wide(batch)
+        if not bad.isEmpty():
+            raise ValueError(f"{day}: {bad.first().reason}")
+        writers.send(rows, self.workers, self.emit)
 
 
 class Folder:

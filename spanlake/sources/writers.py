@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Tasks that a batch is sent by at most.
+MOST_WORKERS = 32
+
+
 class ShardError(Exception):
     """A shard that must not be written or read."""
 
@@ -97,6 +101,6 @@ def send(spans: DataFrame, workers: int, sender: Callable[[Iterable], None]) ->
 
     The rows carry their ids, so a task that runs again sends the same spans under the same ids.
     """
-    if not 1 <= workers <= 32:
-        raise ValueError("workers must be 1 to 32")
+    if not 1 <= workers <= MOST_WORKERS:
+        raise ValueError(f"workers must be 1 to {MOST_WORKERS}")
     spans.repartition(workers).foreachPartition(sender)

@@ -156,6 +156,25 @@ def test_a_failed_day_keeps_others_applied(spark, target, tmp_path):
     assert done["problems"] == [] and len(told) == len(set(told)) == 11
 
 
+def test_tasks_send_all_rows(spark, target, tmp_path):
+    """Many tasks send a batch; one that fails leaves the batch uncertain, as some of it may have landed."""
+    def emit(rows, path=str(tmp_path)):
+        import uuid
+
+        own = [r["context.span_id"] for r in rows]
+        if own:
+            with open(f"{path}/{uuid.uuid4().hex}.sent", "w") as out:
+                out.write("\n".join(own) + "\n")
+
+    assert run.load(spark, target, senders.Tasks(emit, 3).send)["sent"] == 4
+    sent = [x for f in tmp_path.glob("*.sent") for x in f.read_text().split()]
+    assert sorted(sent) == sorted(r.span_id for r in spark.read.parquet(f"{target}/spans").select("span_id").collect())
+    with pytest.raises(ValueError, match="1 to 32"):
+        senders.Tasks(emit, 33)
+    plan = run.score_plan(spark, target)
+    assert plan.count() == spark.read.parquet(f"{target}/frames").count() and plan.where("applied").count() == 0 and run.score_plan(spark, f"{tmp_path}/none") is None
+
+
 def test_waves_and_one_number(spark, target):
     def third(df, day, n, seen=[]):  # noqa: B006
         seen.append(n)
@@ -197,6 +216,7 @@ def test_deferred_scores(spark, target, tmp_path):
     done = run.apply_scores(spark, target, sink.annotate, lambda df: 1 / 0, sink.readable(), T)  # evaluations aren't sent again
     assert (done["annotations"], done["evaluations"], done["unmatched"], done["problems"]) == (1, 0, 0, [])
     assert run.apply_scores(spark, target, sink.annotate, update, sink.readable(), T)["days"] == 0
+    assert run.score_plan(spark, target).where("NOT applied").count() == 0
     looks, waits = [sink.readable().limit(1), sink.readable()], []
     assert run.verify_until(spark, target, lambda: looks.pop(0), sleep=waits.append) == [] and waits == [2.0]
     assert run.verify_until(spark, target, lambda: sink.readable().limit(1), patience=1, sleep=waits.append)
