@@ -7,6 +7,8 @@ import html
 import re
 from collections import Counter
 
+import numpy as np
+
 #: A comment, a declaration, or a tag: its slash, its name and its attributes. A quote opens a value only right after the equals
 #: sign; elsewhere, and within a value without quotes, it is a character like others. Nothing is tried twice.
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S)
@@ -32,7 +34,7 @@ ADVERT_NAMES = frozenset("ad ads advert adverts advertisement advertising sponso
 NEUTRAL_NAMES = frozenset("list box boxes wrapper wrap container block blocks section area bar left right top bottom site page global inner outer slot unit item items link links button buttons post posts form panel row col column main primary secondary large small mobile desktop group".split())
 CONTAINER_TAGS = frozenset("div section article ul ol dl table details header center fieldset blockquote".split())
 _NAME_PARTS = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
-#: Child lists whose sizes multiply to more than this, once equal ends are paired, are matched in one pass.
+#: Child lists whose sizes multiply to more than this, once equal ends are paired, are aligned before their subtrees are matched.
 MATCH_CELLS = 4096
 
 
@@ -253,12 +255,14 @@ def _ends(a: list[Shape], b: list[Shape]) -> tuple[int, int]:
 def match(a: Shape, b: Shape) -> tuple[int, list[tuple[Shape, Shape]]]:
     """Simple tree matching: the most nodes that pair up with order and ancestors kept, and the pairs.
 
-    Equal trees at the ends of two child lists are paired as they are. What is left is matched by dynamic programming,
-    and where it would take over MATCH_CELLS cells by one pass that pairs each child with the next of its signature.
+    Equal trees at the ends of two child lists are paired as they are. What is left is matched by dynamic programming over
+    the scores of all pairs of subtrees; where that would take over MATCH_CELLS pairs, over scores that are known before these
+    are matched: an equal tree its size, another of the same signature 1. So long lists are aligned as a whole too.
     """
     if a.sign != b.sign:
         return 0, []
     known: dict[tuple[int, int], tuple[int, list[tuple[Shape, Shape]]]] = {}
+    aligned: dict[tuple[int, int], list[tuple[Shape, Shape]]] = {}
 
     def middle(x: Shape, y: Shape) -> tuple[list[Shape], list[Shape], list[tuple[Shape, Shape]]]:
         head, tail = _ends(x.kids, y.kids)
@@ -274,12 +278,9 @@ def match(a: Shape, b: Shape) -> tuple[int, list[tuple[Shape, Shape]]]:
             continue
         left, right, same = middle(x, y)
         if len(left) * len(right) > MATCH_CELLS:
-            pairs, at = [], 0
-            for p in left:
-                j = next((j for j in range(at, min(len(right), at + 64)) if right[j].sign == p.sign), None)
-                if j is not None:
-                    pairs.append((p, right[j]))
-                    at = j + 1
+            pairs = aligned.get((id(x), id(y)))
+            if pairs is None:
+                pairs = aligned[id(x), id(y)] = _aligned(left, right)
         else:
             pairs = [(p, q) for p in left for q in right if p.sign == q.sign]
         open_ = [(p, q) for p, q in pairs if (id(p), id(q)) not in known and p.kids and q.kids]
@@ -302,6 +303,34 @@ def match(a: Shape, b: Shape) -> tuple[int, list[tuple[Shape, Shape]]]:
     return known[id(a), id(b)][0], out
 
 
+def _aligned(left: list[Shape], right: list[Shape]) -> list[tuple[Shape, Shape]]:
+    """The pairs of two long lists, in order, with the highest sum of scores, in memory of their length: the left list is halved, and where the right one is cut follows from the best sums from both ends."""
+    signs: dict[str, int] = {}
+    table = [np.array([(signs.setdefault(x.sign, len(signs)), x.key, x.size) for x in side], np.int64).reshape(-1, 3) for side in (left, right)]
+
+    def sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        row = np.zeros(len(b) + 1, np.int64)
+        for sign, key, size in a:
+            own = np.where(b[:, 0] == sign, np.where(b[:, 1] == key, size, 1), 0)
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + own))
+        return row
+
+    out, todo = [], [(0, len(left), 0, len(right))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a == 1:
+            own = np.where(table[1][c:d, 0] == table[0][a, 0], np.where(table[1][c:d, 1] == table[0][a, 1], table[0][a, 2], 1), 0)
+            if own.any():
+                out.append((left[a], right[c + int(own.argmax())]))
+            continue
+        half = (a + b) // 2
+        cut = c + int((sums(table[0][a:half], table[1][c:d]) + sums(table[0][half:b][::-1], table[1][c:d][::-1])[::-1]).argmax())
+        todo += [(half, b, cut, d), (a, half, c, cut)]
+    return out
+
+
 def _best(left: list[Shape], right: list[Shape], scores: dict[tuple[int, int], int]) -> list[tuple[Shape, Shape]]:
     """The pairs of two lists, in order, with the highest sum of scores."""
     m, n = len(left), len(right)

@@ -1,12 +1,14 @@
 """Main text of odd pages, and of the whole table against a plain reading of its articles."""
 
 import html
+import itertools
+import random
 import re
 import time
 
 import pytest
 
-from spanlake.llm import htmltext
+from spanlake.llm import domtree, htmltext
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -42,6 +44,45 @@ def test_deep_pages_take_time_by_their_length(page):
     assert time.perf_counter() - began < 10  # quadratic work takes minutes
 
 
+def best_sum(left, right):
+    table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for i, x in enumerate(left):
+        for j, y in enumerate(right):
+            own = (x.size if x.key == y.key else 1) if x.sign == y.sign else 0
+            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + own)
+    return table[-1][-1]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_lists_are_aligned_as_a_whole(seed):
+    """The sum of a full table, pairs in order, each child once."""
+    r = random.Random(seed)
+
+    def shapes(n):
+        out = []
+        for _ in range(n):
+            x = domtree.Shape.made(r.choice("abc"), "")
+            x.kids = [domtree.Shape.made(r.choice("de"), "") for _ in range(r.randint(0, 2))]
+            x.measure()
+            out.append(x)
+        return out
+
+    left, right = shapes(r.randint(0, 60)), shapes(r.randint(1, 60))
+    pairs = domtree._aligned(left, right)
+    at = [(left.index(p), right.index(q)) for p, q in pairs]
+    assert all(a < c and b < d for (a, b), (c, d) in itertools.pairwise(at)) and all(p.sign == q.sign for p, q in pairs)
+    assert sum(p.size if p.key == q.key else 1 for p, q in pairs) == best_sum(left, right)
+
+
+def test_long_lists_of_far_places_match(monkeypatch):
+    """A list that starts with 200 further children of other signatures meets its like beyond them."""
+    page = lambda head: domtree.Shape([domtree.parse("<div>" + "".join(f"<{t}><i></i></{t}>" for t in head) + "</div>")], "")
+    a, b = ["p", "h2"] * 40 + ["h3"], ["dl", "table"] * 100 + ["p", "h2"] * 39 + ["h4", "p", "h2"]
+    small = domtree.match(page(a), page(b))[0]
+    monkeypatch.setattr(domtree, "MATCH_CELLS", 10**9)
+    assert small == domtree.match(page(a), page(b))[0] > 80
+
+
 def test_query_reads_every_article(spark):
     """The text between the tags of the article, without adverts; blocks are apart, inline tags are not."""
     inline = re.compile(r"</?(?:b|i|em|strong|a|span|code|u|small|sub|sup)\b[^>]*>")
