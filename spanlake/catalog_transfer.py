@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from spanlake.catalog import _LEDGER, _OBS, _ROOT, _SCORES, _SPAN, _TOPS, _anchors, _cells, _obs, query
 from spanlake.catalog_runs import _FIELD, _SPANS, _built
 from spanlake.operators import batches, scores, sketches, spans
-from spanlake.plans import tables
+from spanlake.plans import run, tables
 from spanlake.plans.run import deferred_cells
-from spanlake.sources import fixtures, pages, scratch, sink, writers
+from spanlake.sources import fixtures, pages, readers, scratch, sink, writers
 
 #: A window that starts and ends within days.
 LOW, HIGH = "2024-01-05 06:00:00", "2024-01-09 12:30:00"
@@ -145,3 +145,37 @@ def attribute_leaves(spark: SparkSession, d: str) -> DataFrame:
     deep = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"x":{"y":'), (F.col("event_id") * 2).cast("string"), F.lit(',"none":null},"mix":[1,{"a":'), number, F.lit('}],"empty":[]}'))).when(F.col("event_id") % 3 == 1, F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))).otherwise("null")
     json = F.concat(F.lit('{"k":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.lit(',"tags":["'), F.col("event_type"), F.lit('",'), number, F.lit(',true],"deep":'), deep, F.lit("}"))
     return spans.leaves(e.select("event_id", json.alias("json")), "json", "event_id")
+
+
+@query(f"""WITH {_TOPS}, t AS (SELECT trace_id AS id, 'rec ' || min(seq) AS name, min(start_time) - INTERVAL 5 MINUTES AS at FROM obs GROUP BY trace_id HAVING min(seq) % 3 = 0)
+SELECT r.trace_id, r.made_up OR t.id IS NOT NULL AS made_up, CASE WHEN r.made_up OR t.id IS NOT NULL THEN {_ROOT("r.trace_id")} ELSE r.root_id END AS root_id, CASE WHEN t.id IS NULL THEN r.name WHEN split_part(t.name, ' ', 2)::BIGINT % 2 = 0 THEN t.name ELSE 'trace' END AS name,
+  strftime(coalesce(t.at, r.start_time), '%Y-%m-%d %H:%M:%S') AS started FROM roots r LEFT JOIN t ON t.id = r.trace_id""")
+def record_roots(spark: SparkSession, d: str) -> DataFrame:
+    """Roots where some traces have a record of their own, with a name or a blank one."""
+    o = _obs(spark, d)
+    first = o.groupBy(F.col("trace_id").alias("id")).agg(F.min("seq").alias("m"), F.min("start_time").alias("at")).where("m % 3 = 0")
+    records = first.select("id", F.when(F.col("m") % 2 == 0, F.concat(F.lit("rec "), F.col("m").cast("string"))).otherwise("").alias("name"), (F.col("at") - F.expr("INTERVAL 5 MINUTES")).alias("timestamp"))
+    return spans.roots(o, traces=records).select("trace_id", "made_up", "root_id", "name", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("started"))
+
+
+def _source(spark: SparkSession, d: str) -> readers.Source:
+    """The test tables as files of records, below the shared folder."""
+    path = scratch.shared(spark, "source")
+    _obs(spark, d).drop("seq").write.parquet(f"{path}/observations")
+    fixtures.scores(spark, d).withColumn("at", F.timestamp_seconds("at")).write.parquet(f"{path}/scores")
+    return readers.source("files", spark, path)
+
+
+_EXPORTED = f"""{_SCORES}, {_SPANS}, pc AS (SELECT bucket, target, day FROM cells LEFT JOIN anchors ON bucket = 'session_evals' AND target = session_id JOIN sp ON coalesce(anchor, target) = span_id),
+ex AS (SELECT day, count(*) AS spans, CAST(ceil(count(*) / 200.0) AS BIGINT) AS batches FROM sp GROUP BY day), cc AS (SELECT day, count(*) FILTER (WHERE bucket <> 'annotations') AS riding, count(*) FILTER (WHERE bucket = 'annotations') AS deferred FROM pc GROUP BY day)"""
+
+
+@query(f"WITH {_EXPORTED} SELECT day, batches, spans, coalesce(riding, 0) AS riding, coalesce(deferred, 0) AS deferred FROM ex LEFT JOIN cc USING (day)", days=("day",))
+def exported_days(spark: SparkSession, d: str) -> DataFrame:
+    """What an export of all days wrote, as its ledger and its files say."""
+    target = scratch.shared(spark, "exported")
+    done = run.export(_source(spark, d), target, datetime(2025, 1, 1), batch_rows=200)
+    told = run.read_ledger(spark, target).groupBy("day").agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("spans"))
+    riding = done["spans"].groupBy("day").agg(F.sum(F.size("evals")).cast("long").alias("riding"))
+    frames = spark.read.parquet(f"{target}/frames").groupBy("day").agg(F.count(F.lit(1)).alias("deferred"))
+    return told.join(riding, "day").join(frames, "day", "left").fillna(0, ["deferred"])
