@@ -71,10 +71,12 @@ def main_node(root: Node, dull: Callable[[Node], bool]) -> tuple[Node, bool]:
     found from the top over text that isn't dull: a child with DENSE_SHARE of all of it takes the place of its parent, unless
     the parent has headings or paragraphs of its own.
     """
+    there = next((x for named, tag in ((False, "article"), (False, "main"), (True, "article"), (True, "main")) if (x := _outermost(root, tag, named))), [])
+    if len(there) == 1:
+        return there[0], True
     size = {k: own for k, (own, _) in sizes(root, lambda n: n.named or dull(n)).items()}
-    for named, tag in ((False, "article"), (False, "main"), (True, "article"), (True, "main")):
-        if there := _outermost(root, tag, named):
-            return max(there, key=lambda n: size[id(n)]), True  # the first of those with as much
+    if there:
+        return max(there, key=lambda n: size[id(n)]), True  # the first of those with as much
     here = root
     while True:
         kids = [k for k in here.nodes() if size[id(k)] >= DENSE_SHARE * size[id(root)] > 0]
