@@ -179,3 +179,11 @@ def exported_days(spark: SparkSession, d: str) -> DataFrame:
     riding = done["spans"].groupBy("day").agg(F.sum(F.size("evals")).cast("long").alias("riding"))
     frames = spark.read.parquet(f"{target}/frames").groupBy("day").agg(F.count(F.lit(1)).alias("deferred"))
     return told.join(riding, "day").join(frames, "day", "left").fillna(0, ["deferred"])
+
+
+@query(f"WITH {_SCORES} SELECT id, count(*) AS copies FROM (SELECT id FROM sc JOIN (SELECT DISTINCT trace_id FROM obs WHERE seq % 10 = 0) t ON CASE kind WHEN 'trace' THEN subject_id WHEN 'observation' THEN (SELECT any_value(trace_id) FROM obs o WHERE o.id = subject_id) END = t.trace_id UNION ALL SELECT id FROM sc WHERE kind = 'session' AND subject_id IN (SELECT session_id FROM obs WHERE seq % 500 = 0)) GROUP BY id")
+def scores_about_both(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of some traces and sessions in one look, and how often each was met."""
+    o = _obs(spark, d)
+    met = readers.scores_about(fixtures.scores(spark, d), o.where("seq % 10 = 0"), o.where("seq % 500 = 0"))
+    return met.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))

@@ -70,7 +70,7 @@ def bind(spark: SparkSession, target: str, source: str, project: str) -> None:
 def classified_scores(source: Source, chosen: DataFrame, roots: DataFrame) -> DataFrame:
     """The scores of chosen observations' traces and sessions, whenever given, once each; names collide over all scores of the source."""
     everything = source.scores()
-    own = readers.scores_of(everything, chosen, "trace", "trace_id").unionByName(readers.scores_of(everything, chosen.where("session_id IS NOT NULL"), "session", "session_id"))
+    own = readers.scores_about(everything, chosen, chosen)
     return scores.classify(readers.keep_first(own, "id", "at"), roots, everything=everything)
 
 

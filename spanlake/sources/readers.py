@@ -158,6 +158,13 @@ def scores_of(scores: DataFrame, keys: DataFrame, kind: str, key: str) -> DataFr
     return of_kind.join(chosen, column, "left_semi").select(*scores.columns)
 
 
+def scores_about(scores: DataFrame, traces: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Scores of some traces (trace_id) and of some sessions (session_id), whenever they were given: the scores are read once, and meet both under one key."""
+    keys = traces.select(F.concat(F.lit("t"), "trace_id").alias("_key")).unionByName(sessions.select(F.concat(F.lit("s"), "session_id").alias("_key"))).where("_key IS NOT NULL").distinct()
+    own = F.array_compact(F.array(F.concat(F.lit("t"), "subject_trace"), F.when(F.col("kind") == "session", F.concat(F.lit("s"), "subject_id"))))
+    return scores.withColumn("_key", F.explode(own)).join(keys, "_key", "left_semi").select(*scores.columns)
+
+
 def keep_first(df: DataFrame, key: str, *order: str) -> DataFrame:
     """One row of each key, the first in that order; rows with a null key all stay.
 
