@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.llm import bpe, decontam, langid, linededup, neardup
-from spanlake.llm.frames import bound_batches, read, stored
+from spanlake.llm.frames import bound_batches, discard, read, scratch, stored
 
 #: The columns of documents, which all stages but the last return.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,8 +28,10 @@ def least_scores(scored: DataFrame, lang: str = "lang", found: str = "_predicted
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters (null and empty ones too) and those like no learned language; fills in null languages.
 
-    What is too unlike comes from the scores of all labelled training rows, by language, and from noise. Languages are learned from the labelled rows of the training folds. Without any label nothing is learned; then
-    only texts without letters go.
+    What is too unlike comes from the scores of all labelled training rows, by language, and from noise. Languages are learned
+    from the labelled rows of the training folds. Without any label nothing is learned; then only texts without letters go. Of
+    languages with the same cosine the first by name is found. Repeated rows stay or go together, a null doc_id is no matter,
+    and other columns than those of documents aren't returned. No rows: none.
     """
     bound_batches(spark)
     prototypes = langid.fit(docs.where(~langid.held_out()))
@@ -44,7 +46,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that are boilerplate of their source; n_chars is counted anew. All documents stay."""
+    """Drops lines that are boilerplate of their source; n_chars is counted anew. All documents stay.
+
+    A null source is one of its own. A null text stays null (n_chars too), an empty one empty; a text of boilerplate lines only
+    stays whole. Repeated rows count as pages each and get equal texts. Other columns aren't returned. No rows: none.
+    """
     bound_batches(spark)
     return linededup.drop_boilerplate(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
@@ -62,12 +68,20 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item.
+
+    Null and empty texts hold none and stay, as do all documents where the benchmark has no rows or no words. Repeated rows and
+    rows of one doc_id are judged by their own texts. Other columns aren't returned. No rows: none.
+    """
     return decontam.contaminated(docs.select(*COLUMNS), read(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_chars, the token ids, their number and hash, and the hash of the bytes they decode to."""
+    """doc_id, lang, source, n_chars, the token ids, their number and hash, and the hash of the bytes they decode to.
+
+    A null or empty text has no ids and the hashes of nothing. Rows stay as they are, repeated ones and those without a doc_id
+    too; other columns aren't returned. No rows: none.
+    """
     import public_tokenizers
 
     bound_batches(spark)
@@ -87,8 +101,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; what a stage returns is written to the checkpoint folder before the next reads it."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over the documents; what a stage returns is written to the checkpoint folder before the next reads it, and deleted when that has."""
+    docs = before = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with scratch(spark) as keep:
+            after = keep(stored(stage(spark, before, sf_dir)))
+        if before is not docs:
+            discard(before)
+        before = after
+    return STAGES[-1][1](spark, before, sf_dir)

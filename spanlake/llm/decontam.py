@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,15 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlake.llm.frames import fresh, read, table
+from spanlake.llm.frames import fresh, read, stored
 from spanlake.llm.textio import LOWER, WORD_CHARS, buffers, grams, room, rows_of, runs, signed, slices, word_hashes
 
 #: Words in a window of an item, and words in a shingle.
 WINDOW, SHINGLE = 10, 3
 #: Bits of the sieve that keeps most other shingles from the join: a fixed size, whatever the data.
 SIEVE_BITS = 1 << 24
-#: Hit texts up to which their results, a digest and some item ids each, are broadcast to the documents.
-RESULT_ROWS = 20_000
+#: Bytes of all results of hit texts, digests and item ids, up to which they are broadcast to the documents.
+RESULT_BYTES = 4 << 20
 
 
 def _words(batch: pa.RecordBatch, column: str):
@@ -146,7 +145,9 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     spans = hits.select("doc", "a", (F.col("a") + F.col("n")).alias("b")).groupBy("doc", "a").agg(F.max("b").alias("b"))
     reach = F.max("b").over(Window.partitionBy("doc").orderBy("a").rowsBetween(Window.unboundedPreceding, -1))
     covered = spans.withColumn("c", F.greatest(F.col("b") - F.greatest(F.col("a"), F.coalesce(reach, F.lit(0).cast("long"))), F.lit(0).cast("long"))).groupBy("doc").agg(F.sum("c").alias("hit"))
-    result = table(covered.join(per_item, "doc", "left").withColumnRenamed("doc", key), RESULT_ROWS)  # so that copies of one text are joined, not grouped
+    result = stored(covered.join(per_item, "doc", "left").withColumnRenamed("doc", key))  # so that copies of one text are joined, not grouped
+    held = result.agg(F.sum(F.lit(128) + F.coalesce(F.octet_length(F.concat_ws(",", "items")), F.lit(0)))).first()[0] or 0
+    result = F.broadcast(result) if held <= RESULT_BYTES else result
 
     keep = [c for c in docs.columns if c.lower() not in made]
     total = F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), lambda w: w != "")).cast("long")
@@ -160,25 +161,3 @@ def op2_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = contaminated(docs, read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated")
-
-
-def brute_force(docs: list[tuple], items: list[tuple], window: int = WINDOW) -> dict:
-    """The same by looking at every place: {doc_id: (n_words, n_hit, n_items, items_sha256, contaminated)} for tests."""
-    import re
-
-    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    lower = {c: c + 32 for c in range(65, 91)}
-    words = lambda t: pattern.findall((t or "").translate(lower))
-    out = {}
-    for doc, text in docs:
-        w, hit, found = words(text), set(), set()
-        for item, item_text in items:
-            v = words(item_text)
-            n = min(window, len(v))
-            wanted = {tuple(v[i : i + n]) for i in range(len(v) - n + 1)} if n else set()
-            for i in range(len(w) - n + 1):
-                if n and tuple(w[i : i + n]) in wanted:
-                    hit.update(range(i, i + n))
-                    found.add(str(item))
-        out[doc] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
-    return out

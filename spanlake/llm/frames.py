@@ -68,15 +68,16 @@ def table(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Tables stored within are deleted at the end, but for those that a frame given to the yielded function reads."""
+    """Tables stored within are deleted at the end, but for those that a frame given to the yielded function reads; these belong to the scope around, if there is one."""
     own: dict[str, str] = {}
     _scopes.append(own)
 
     def keep(df: DataFrame) -> DataFrame:
-        for file in df.inputFiles():
-            name = next((x for x in file.split("/") if x.startswith("table-")), None)
-            for path in [p for p in own if name and p.endswith(name)]:
+        for name in _names(df):
+            for path in [p for p in own if p.endswith(name)]:
                 del own[path]
+                if len(_scopes) > 1:
+                    _scopes[-2][path] = path
         return df
 
     try:
@@ -84,8 +85,23 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     finally:
         _scopes.pop()
         for path in own:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, path)
+
+
+def _names(df: DataFrame) -> set[str]:
+    """The names of the stored tables that a frame reads."""
+    return {x for file in df.inputFiles() for x in file.split("/") if x.startswith("table-")}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the stored tables that a frame reads, when nothing needs it any more."""
+    for name in _names(df):
+        _delete(df.sparkSession, f"{_shared_folder(df.sparkSession)}/{name}")
 
 
 def text_or_empty(column: str) -> Column:
@@ -109,4 +125,4 @@ def with_text_key(df: DataFrame, name: str, *columns: str) -> DataFrame:
     return df.withColumn(name, F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256))
 
 
-__all__ = ["bound_batches", "cut", "fresh", "read", "scratch", "stored", "table", "text_or_empty", "with_text_key"]
+__all__ = ["bound_batches", "cut", "discard", "fresh", "read", "scratch", "stored", "table", "text_or_empty", "with_text_key"]

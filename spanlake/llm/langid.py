@@ -16,6 +16,8 @@ from spanlake.llm.textio import mix, resident
 DIM, N, KEEP = 1024, 3, 40_000
 #: N-gram vectors that are bundled at once.
 STEP = 4096
+#: Bytes of n-grams that a task holds before it sums them, of one language and of all.
+LANGUAGE_BYTES, HELD_BYTES = 16 << 20, 64 << 20
 #: Most languages a model has, those with the most labelled texts: it bounds the prototypes, DIM numbers a language.
 MAX_LANGS = 2000
 UNKNOWN = "und"
@@ -114,7 +116,8 @@ def _shared(dim: int, n: int) -> GramVectors:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM, n: int = N) -> dict[str, np.ndarray]:
     """The prototype of each language: the bundle of all n-grams of its labelled texts, over all rows given.
 
-    Rows without a language or letters are left out. Each task sums its rows; what meets is `dim` sums a
+    Rows without a language or letters are left out. Each task sums its rows, and holds HELD_BYTES of n-grams at most that it
+    hasn't summed yet, besides those of one text; what meets is `dim` sums a
     language and task, added up by Spark, and the driver gets the few prototypes. Of more than MAX_LANGS languages
     those with the most texts are learned (ties: by name); texts of others get one of these. Repeated rows count each time,
     whatever their labels.
@@ -122,21 +125,27 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", dim: int =
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[str, int] = {}
         totals: dict[str, np.ndarray] = {}
-        vectors = _shared(dim, n)
+        vectors, total = _shared(dim, n), 0
 
         def close(lang_: str) -> None:
             grams = found.pop(lang_)
+            held.pop(lang_)
             keys, at = np.unique(np.concatenate([k for k, _ in grams]), return_inverse=True)
             counts = np.bincount(at, np.concatenate([c for _, c in grams]), len(keys))
             totals[lang_] = totals.get(lang_, 0.0) + vectors.bundle([(keys, counts)])[0].astype(np.float64)
 
         for batch in batches:
             for text_, lang_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams = found.setdefault(lang_, [])
-                grams.append(ngrams(text_, n))
-                if len(grams) >= 256:
-                    close(lang_)
+                grams = ngrams(text_, n)
+                found.setdefault(lang_, []).append(grams)
+                held[lang_] = held.get(lang_, 0) + sum(x.nbytes for x in grams)
+                total += sum(x.nbytes for x in grams)
+                if held[lang_] >= LANGUAGE_BYTES or total >= HELD_BYTES:
+                    most = max(held, key=held.get)
+                    total -= held[most]
+                    close(most)
         for lang_ in list(found):
             close(lang_)
         for lang_, v in totals.items():
