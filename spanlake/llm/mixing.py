@@ -16,7 +16,7 @@ WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Newton's steps stop when each source's words are this near their target, as a part of it, or after so many steps.
 NEAR, STEPS = 1e-7, 60
 #: A document's draw is a number of BITS bits; the draw up to which a source's documents get a further copy is found DIGIT bits at a time.
-BITS, DIGIT, SEED = 36, 12, 42
+BITS, DIGIT, SEED = 32, 8, 42
 #: Sums of weighted words are decimal, so that they don't depend on the order of rows.
 _EXACT = "decimal(38,9)"
 
