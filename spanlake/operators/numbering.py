@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a group that one task numbers; a larger group is cut into ranges, by so many bounds at most each time.
-PART_ROWS, MOST_BOUNDS = 1 << 16, 256
+from spanlake.sources import scratch
+
+#: Rows of a file of numbered rows. The ranges are Spark's own, so no bounds are kept; the second number is there for callers that set it.
+PART_ROWS, MOST_BOUNDS = 1 << 20, 256
 #: Rows of a block of greedy batches (four times a batch's rows at least), and blocks that are joined at once.
 BLOCK_ROWS, FAN = 1 << 14, 256
 
@@ -22,57 +24,39 @@ def same(a: str, b: str, *columns: str) -> list[Column]:
     return [F.col(f"{a}.`{c}`").eqNullSafe(F.col(f"{b}.`{c}`")) for c in columns]
 
 
-def _largest(rows: DataFrame, *by: str) -> int:
-    return rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-
-
-def _cut(rows: DataFrame, group: str, part: str, order: tuple[str, ...]) -> DataFrame:
-    """Cuts each part that is too large at bounds that a hash picks from its rows, so that they depend on the data alone.
-
-    The share of rows that are bounds follows from the part's size: half of MOST_BOUNDS are expected. Rows that tie in order stay
-    together.
-    """
-    size, bounds = free(rows, "size", "bounds")
-    value = F.struct(*order)
-    sizes = rows.groupBy(group, part).agg(F.count(F.lit(1)).alias(size)).where(F.col(size) > PART_ROWS)
-    chance = F.lit(float(1 << 30) * MOST_BOUNDS) / F.col(size)
-    picked = rows.alias("a").join(sizes.alias("b"), same("a", "b", group, part)).where(F.pmod(F.xxhash64(*order), F.lit(1 << 31)) < chance).select(f"a.{group}", f"a.{part}", value.alias(bounds)).distinct()
-    found = picked.groupBy(group, part).agg(F.array_sort(F.collect_list(bounds)).alias(bounds))
-    every = F.ceil(F.size(bounds) / MOST_BOUNDS).cast("int")
-    thin = found.select(group, part, F.filter(bounds, lambda _, i: i % every == 0).alias(bounds))
-    place = F.coalesce(F.size(F.filter(F.col(f"b.{bounds}"), lambda x: x <= value)), F.lit(0))
-    return rows.alias("a").join(thin.alias("b"), same("a", "b", group, part), "left").select(*[F.col(f"a.`{c}`") for c in rows.columns if c != part], (F.col(f"a.{part}") * (MOST_BOUNDS + 1) + place).alias(part))
-
-
 def numbered(df: DataFrame, by: str | None, *order: str, size: str | None = None) -> DataFrame:
     """Adds n, the place of each row in its group (of the whole table without one) from 0, and with `size` also before, the sum of the sizes before it.
 
-    A group of more than PART_ROWS rows is cut into ranges of its order, and these again as long as they are too large; ranges
-    are numbered on their own and moved by what stands before them. So no task gets a large group, and no array has more than
-    MOST_BOUNDS bounds. Rows that tie in `order` may swap places. A null group is one; a null size counts as 0. Columns n and
-    before are replaced. The sizes of the groups are looked at once, when this is called.
+    When this is called, the rows are computed once, dealt to ranges of (group, order) and written in this order to the shared
+    folder: a row's place in its range is then known, and what stands before a range is a sum over ranges. So a row moves once,
+    what made it isn't computed anew by each look at it, and no task gets a large group. Only `before` takes one more shuffle, by
+    range. Rows that tie in `order` may swap places; they stay in one range. A null group is one; a null size counts as 0.
+    Columns n and before are replaced.
     """
-    out = ["n", *(["before"] if size else [])]
-    group, part, own, rest, more = free(df, "group", "part", "own", "rest", "more")
-    rows = df.withColumn(group, F.col(by) if by else F.lit(0)).withColumn(part, F.lit(0).cast("long"))
-    largest, cut = _largest(rows, group), False
-    while largest > PART_ROWS:
-        rows, cut, was = _cut(rows, group, part, order), True, largest
-        largest = _largest(rows, group, part)
-        if largest > was / 2:  # rows that tie
-            break
-    upto = Window.partitionBy(group, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    amount = F.coalesce(F.col(size), F.lit(0)).cast("long") if size else F.lit(0).cast("long")
+    spark, out = df.sparkSession, ["n", *(["before"] if size else [])]
+    group, part, own, more = free(df, "group", "part", "own", "more")
     kept = [c for c in df.columns if c.lower() not in out]
-    placed = rows.select(*[F.col(f"`{c}`") for c in kept], group, part, (F.count(F.lit(1)).over(upto) - 1).alias(own), (F.sum(amount).over(upto) - amount).alias(more))
-    if not cut:
-        return placed.select(*[F.col(f"`{c}`") for c in kept], F.col(own).alias("n"), *([F.col(more).alias("before")] if size else []))
-    total = rows.groupBy(group, part).agg(F.count(F.lit(1)).alias(own), F.sum(amount).alias(more))
+    empty = {f.name for f in df.schema if f.dataType.typeName() == "void"}  # Parquet has no such type
+    amount = F.coalesce(F.col(size), F.lit(0)).cast("long") if size else F.lit(0).cast("long")
+    keyed = df.withColumn(group, F.col(by) if by else F.lit(0))
+    dealt = keyed.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    placed = dealt.select(*[F.col(f"`{c}`") for c in kept if c not in empty], F.col(group), *([amount.alias(more)] if size else []), F.monotonically_increasing_id().alias(own))
+    path = scratch.shared(spark, "numbered")
+    placed.write.option("maxRecordsPerFile", PART_ROWS).parquet(f"{path}/rows")
+    rows = spark.read.schema(placed.schema).parquet(f"{path}/rows").withColumn(part, F.shiftright(own, 33))
+    # own counts on within a range, which may hold several groups
     past = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    moved = total.select(group, part, *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(c) for c in (own, more)])
-    met = placed.alias("a").join(moved.alias("b"), same("a", "b", group, part))
+    before = lambda c: F.coalesce(F.sum(c).over(past), F.lit(0))
+    total = rows.groupBy(group, part).agg(F.min(own).alias(own), F.count(F.lit(1)).alias("rows"), *([F.sum(more).alias(more)] if size else []))
+    moved = total.select(group, part, (before("rows") - F.col(own)).alias(own), *([before(more).alias(more)] if size else []))
+    moved.write.parquet(f"{path}/ranges")
+    ranges = spark.read.schema(moved.schema).parquet(f"{path}/ranges")
+    if size:
+        upto = Window.partitionBy(group, part).orderBy(own).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn(more, F.sum(more).over(upto) - F.col(more))
+    met = rows.alias("a").join(ranges.alias("b"), same("a", "b", group, part))
     plus = lambda c: F.col(f"a.{c}") + F.col(f"b.{c}")
-    return met.select(*[F.col(f"a.`{c}`") for c in kept], plus(own).alias("n"), *([plus(more).alias("before")] if size else []))
+    return met.select(*[F.lit(None).alias(c) if c in empty else F.col(f"a.`{c}`") for c in kept], plus(own).alias("n"), *([plus(more).alias("before")] if size else []))
 
 
 def _ends(placed: DataFrame, block_rows: int, rows: int, limit: int) -> DataFrame:
@@ -146,7 +130,7 @@ def greedy(df: DataFrame, by: str, order: str, size: str, rows: int, limit: int)
     slim = df.select(F.col(by).alias("g"), F.col(order).alias("o"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias("bytes"))
     placed = numbered(slim, "g", "o", size="bytes")
     maps = _maps(_ends(placed, block_rows, rows, limit), block_rows)
-    entries = _entries(maps.select("g", "block", "start", "end", "exits"), -(-_largest(slim, "g") // block_rows)).alias("e")
+    entries = _entries(maps.select("g", "block", "start", "end", "exits"), -(-((placed.agg(F.max("n")).first()[0] or 0) + 1) // block_rows)).alias("e")
     met = maps.alias("m").join(entries, same("m", "e", "g", "block")).select("m.*", "entry")
     walk = F.aggregate(
         F.sequence(F.lit(1), F.col("jumps")), F.array("entry"),

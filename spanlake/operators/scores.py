@@ -138,9 +138,11 @@ def plan(frames: DataFrame, log: DataFrame | None) -> DataFrame:
 
 
 def chunked(cells: DataFrame, rows: int) -> DataFrame:
-    """Adds chunk: the cells of so many spans of a day are one, by the span's id."""
-    targets = batches.numbered(cells.select("day", "target").distinct(), "day", "target")
-    return cells.join(targets.select("day", "target", F.floor(F.col("n") / rows).cast("long").alias("chunk")), ["day", "target"])
+    """Adds chunk: the cells of so many spans of a day are one, by the span's id. A span's cells are one row while it is numbered, so they are computed once and need no join."""
+    rest = [c for c in cells.columns if c not in ("day", "target")]
+    own = cells.where("day IS NOT NULL AND target IS NOT NULL").groupBy("day", "target").agg(F.collect_list(F.struct(*rest)).alias("_cells"))
+    chunk = F.floor(F.col("n") / rows).cast("long").alias("chunk")
+    return batches.numbered(own, "day", "target").select("day", "target", chunk, F.explode("_cells").alias("c")).select("day", "target", *[f"c.`{c}`" for c in rest], "chunk")
 
 
 def without_frames(shards: DataFrame, frames: DataFrame) -> DataFrame:
