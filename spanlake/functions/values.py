@@ -202,13 +202,17 @@ def flatten_json(json_object: Column, depth: int | None = None) -> Column:
 
     def spread(e: Column) -> Column:
         inner = F.transform(F.map_entries(F.from_json(e["value"], of)), lambda i: F.struct(F.concat(e["key"], F.lit("."), i["key"]).alias("key"), i["value"].alias("value")))
-        return F.when(e["value"].startswith("{") & is_json(e["value"]), inner).otherwise(F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))
+        # what `is_json` says of a text that starts with a brace, without its passes over the text
+        closed = e["value"].endswith("}") | e["value"].rlike(r"(?U)\}\s+\z")
+        return F.when(e["value"].startswith("{") & closed & F.try_parse_json(e["value"]).isNotNull(), inner).otherwise(F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))
 
-    levels = nesting(json_object)
-    turns = levels - 1 if depth is None else F.least(levels - 1, F.lit(depth - 1))
-    steps = F.when(turns > 0, F.sequence(F.lit(1), turns)).otherwise(F.array().cast("array<int>"))
-    leaves = F.aggregate(steps, F.map_entries(F.from_json(json_object, of)), lambda found, _: F.flatten(F.transform(found, spread)))
+    def opened(levels: Column) -> Column:
+        turns = levels - 1 if depth is None else F.least(levels - 1, F.lit(depth - 1))
+        steps = F.when(turns > 0, F.sequence(F.lit(1), turns)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, F.map_entries(F.from_json(json_object, of)), lambda found, _: F.flatten(F.transform(found, spread)))
+
+    leaves = _held(nesting(json_object), opened)
     kept = F.filter(leaves, lambda e: e["value"].isNotNull() & (e["value"] != "[]"))
-    ordered = F.array_sort(F.transform(kept, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
+    ordered = F.sort_array(F.transform(kept, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
     first = _held(ordered, lambda all_: F.filter(all_, lambda e, i: (i == 0) | (e["key"] != F.get(all_, i - 1)["key"])))
     return F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
