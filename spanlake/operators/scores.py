@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanlake.functions import ids, names
 from spanlake.operators import batches
+from spanlake.sources import scratch
 
 GRANULARITY = {"observation": "span", "trace": "trace", "session": "session"}
 #: Columns of a wide table of evaluations; further ones share a VARIANT.
@@ -164,19 +165,24 @@ def pivot(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
 def wide(cells: DataFrame, most: int = MOST_COLUMNS) -> DataFrame:
     """target, the columns of the cells themselves, and rest: cells of one bucket as a wide table whose columns are found first.
 
-    The first look counts targets by column; the `most` that most targets have (ties: by name) become columns, scores as numbers,
-    others as text, and the driver gets these names only. The second is one aggregation. What has no column of its own is in
-    rest, a VARIANT object by name (null without any), so nothing is lost however many names there are. A target has one cell of
-    a column, as `long_columns` gives them.
+    When this is called, the cells are computed once and written to the shared folder, a row a target. The first look counts
+    targets by column; the `most` that most targets have (ties: by name) become columns, scores as numbers, others as text, and
+    the driver gets these names only. The second opens each row by itself. What has no column of its own is in rest, a VARIANT
+    object by name (null without any), so nothing is lost however many names there are. A target has one cell of a column, as
+    `long_columns` gives them.
     """
-    found = cells.groupBy("column").agg(F.count_distinct("target").alias("n")).orderBy(F.desc("n"), "column").limit(most).select("column").collect()
+    told = cells.groupBy("target").agg(F.collect_list(F.struct("column", "number", "text")).alias("_cells"))
+    path = scratch.shared(cells.sparkSession, "wide")
+    told.write.parquet(path)
+    rows = cells.sparkSession.read.schema(told.schema).parquet(path)
+    names_ = rows.select("target", F.explode(F.array_distinct(F.transform("_cells", lambda x: x["column"]))).alias("column"))
+    found = names_.groupBy("column").agg(F.count("target").alias("n")).orderBy(F.desc("n"), "column").limit(most).select("column").collect()
     own = sorted(r.column for r in found)
-    of = lambda c: F.max(F.when(F.col("column") == c, F.col("number") if c.endswith(".score") else F.coalesce("text", F.col("number").cast("string")))).alias(c)
-    told = F.struct(F.col("column").alias("key"), F.struct("number", "text").alias("value"))
-    others = F.array_sort(F.collect_list(F.when(~F.col("column").isin(own), told)))
+    value = lambda x, c: x["number"] if c.endswith(".score") else F.coalesce(x["text"], x["number"].cast("string"))
+    of = lambda c: F.array_max(F.transform(F.filter("_cells", lambda x: x["column"] == c), lambda x: value(x, c))).alias(c)
+    others = F.array_sort(F.transform(F.filter("_cells", lambda x: ~x["column"].isin(own)), lambda x: F.struct(x["column"].alias("key"), F.struct(x["number"].alias("number"), x["text"].alias("text")).alias("value"))))
     rest = F.when(F.size("_rest") > 0, F.parse_json(F.to_json(F.map_from_entries("_rest"))))
-    grouped = cells.groupBy("target").agg(*[of(c) for c in own], others.alias("_rest"))
-    return grouped.select("target", *[F.col(f"`{c}`") for c in own], rest.alias("rest"))
+    return rows.select("target", *[of(c) for c in own], others.alias("_rest")).select("target", *[F.col(f"`{c}`") for c in own], rest.alias("rest"))
 
 
 def attach(spans: DataFrame, cells: DataFrame) -> DataFrame:
