@@ -18,11 +18,12 @@ def _column(df: DataFrame, name: str, kind: str = "string"):
 
 def split(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, rejected with a reason): a row needs a trace id, a start, and metadata that leaves the provenance key free."""
-    meta = values.metadata_object(_column(observations, "metadata"))
+    raw = _column(observations, "metadata")
+    meta, may = values.metadata_object(raw), raw.contains(PROVENANCE) | raw.contains("\\")  # else there is no such key, and nothing to parse
     reason = (
         F.when(values.or_else(F.col("trace_id")).isNull(), "no trace id")
         .when(F.col("start_time").isNull(), "no start time")
-        .when(values.uses_key(meta, PROVENANCE), "metadata uses a reserved key")
+        .when(may & values.uses_key(meta, PROVENANCE), "metadata uses a reserved key")
     )
     marked = observations.withColumn("reason", reason)
     return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
@@ -107,13 +108,14 @@ def made_up_roots(trace_roots: DataFrame, names: ids.Namespaces = ids.DEFAULT) -
     )
 
 
-def assemble(observations: DataFrame, names: ids.Namespaces = ids.DEFAULT, traces: DataFrame | None = None, reattach_orphans: bool = False, extra_kinds: dict[str, str] | None = None) -> DataFrame:
+def assemble(observations: DataFrame, names: ids.Namespaces = ids.DEFAULT, traces: DataFrame | None = None, reattach_orphans: bool = False, extra_kinds: dict[str, str] | None = None, tops: DataFrame | None = None) -> DataFrame:
     """All spans of all traces: observations, and made-up roots that parentless rows hang on.
 
     Rows without a trace id are no part of a tree and are left out: `split` rejects them with a reason. A parent that
-    doesn't exist stays as it is, unless reattach_orphans hangs such rows on the trace's root.
+    doesn't exist stays as it is, unless reattach_orphans hangs such rows on the trace's root. tops: the observations' `roots`,
+    if they are known.
     """
-    tops = roots(observations, names, traces)
+    tops = roots(observations, names, traces) if tops is None else tops
     spans = project(observations, names, extra_kinds).alias("s")
     r = tops.select(F.col("trace_id").alias("_trace"), F.col("made_up").alias("_made_up"), F.col("root_id").alias("_root")).alias("r")
     joined = spans.join(r, F.col("s.source_trace") == F.col("r._trace"))

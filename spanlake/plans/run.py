@@ -84,6 +84,7 @@ def export(source: Source, target: str, now: datetime, years: int = 2, most_days
 
     Spans are written in the order of their batches, in files of a batch's rows at most, and the ledger says which files a batch
     is in and what its fingerprint is, as read from them: so a batch is read without its day.
+    The days' observations and roots are staged, as are spans: each is checked and computed once, and read by columns.
     """
     observations, rejected = spans.split(source.observations())
     observations = spans.by_day(observations)
@@ -102,13 +103,16 @@ def export(source: Source, target: str, now: datetime, years: int = 2, most_days
     if events is not None and overwrite:
         tables.append_events(tables.withdraw(events, days), target)
         events = tables.read_events(spark, target)
-    chosen = observations.join(days, "day", "left_semi")
-    built, folder = tables.staged(spans.assemble(chosen, reattach_orphans=reattach_orphans).withColumn("day", F.to_date("start_time")), target)
+    left = observations.join(days, "day", "left_semi")
+    chosen, rows_folder = tables.staged(left, target)
+    roots, roots_folder = tables.staged(spans.roots(chosen), target)
+    built, folder = tables.staged(spans.assemble(chosen, reattach_orphans=reattach_orphans, tops=roots).withColumn("day", F.to_date("start_time")), target)
     writers.refuse_duplicates(built)
+    if not spark.sparkContext.getCheckpointDir():  # numbering writes below it
+        spark.sparkContext.setCheckpointDir(f"{target}/_staged")
     batched = batches.by_rows(built.select("day", "span_id"), "day", "span_id", batch_rows)
-    classified = classified_scores(source, chosen, spans.roots(chosen))
-    anchors = spans.session_anchors(chosen, spans.roots(chosen))
-    cells = scores.long_columns(classified)
+    anchors = spans.session_anchors(chosen, roots)
+    cells = scores.long_columns(classified_scores(source, chosen, roots))
     of_days = lambda name, schema: spark.read.schema(schema).parquet(f"{target}/{name}").join(days, "day", "left_semi")  # noqa: E731  there may be no day
     placed = scores.placed(cells, built, anchors)
     tables.replace_days(placed, f"{target}/cells", listed)
@@ -121,8 +125,10 @@ def export(source: Source, target: str, now: datetime, years: int = 2, most_days
     if listed:
         tables.append_events(tables.make_events(made_batches(spark.read.schema(whole.schema).parquet(f"{target}/spans"), days), events), target)
         days.coalesce(1).write.mode("append").parquet(f"{target}/framed")
-    tables.drop(spark, folder)
-    unmatched = cells.select("bucket", "target").distinct().join(placed.select("bucket", "target").distinct(), ["bucket", "target"], "left_anti")
+    for path in (folder, rows_folder, roots_folder):
+        tables.drop(spark, path)
+    classified = classified_scores(source, left, spans.roots(left))  # what is returned is read later, without staged rows
+    unmatched = scores.long_columns(classified).select("bucket", "target").distinct().join(placed.select("bucket", "target").distinct(), ["bucket", "target"], "left_anti")
     return {"spans": written, "rejected": rejected, "skipped": scores.skipped(classified), "unmatched": unmatched, "cells": spark.read.schema(placed.schema).parquet(f"{target}/cells")}
 
 
